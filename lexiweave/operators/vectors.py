@@ -196,18 +196,27 @@ def standard_scale(df: DataFrame, column: str = "features", out: str = "scaled")
     return scaler.fit(df).transform(df)
 
 
-def standard_scale_long(long: DataFrame, n_rows: int, id_col: str = "doc_id") -> DataFrame:
-    """Long-form twin of :func:`standard_scale`; rows left out count as zero."""
+def deviation_long(long: DataFrame, n_rows: int) -> DataFrame:
+    """Sample deviation of each dimension; rows left out of the long form are zero."""
     value = F.col("value")
     mean = F.sum(value) / F.lit(n_rows)
     variance = (F.sum(value * value) - F.lit(n_rows) * mean * mean) / F.lit(n_rows - 1)
-    deviation = long.groupBy("idx").agg(F.sqrt(F.greatest(variance, F.lit(0.0))).alias("_sd"))
-    scaled = F.when(F.col("_sd") > 0, value / F.col("_sd")).otherwise(F.lit(0.0))
+    return long.groupBy("idx").agg(F.sqrt(F.greatest(variance, F.lit(0.0))).alias("sd"))
+
+
+def scale_long(long: DataFrame, deviation: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Divide by a fitted deviation; a constant dimension becomes zero."""
+    scaled = F.when(F.col("sd") > 0, F.col("value") / F.col("sd")).otherwise(F.lit(0.0))
     return lookup_join(long, deviation, ["idx"], [id_col]).select(
         id_col, "idx", scaled.alias("value")
     )
 
 
+def standard_scale_long(long: DataFrame, n_rows: int, id_col: str = "doc_id") -> DataFrame:
+    """Long-form twin of :func:`standard_scale`."""
+    return scale_long(long, deviation_long(long, n_rows), id_col)
+
+
 def normalize(df: DataFrame, p: float = 1.0, column: str = "tfidf", out: str = "normed") -> DataFrame:
     """Divide each row by its p-norm."""
     return Normalizer(inputCol=column, outputCol=out, p=p).transform(df)

@@ -35,7 +35,7 @@ def posting_lines(postings: DataFrame, per_line: int = IDS_PER_LINE) -> DataFram
 
 
 def write_postings(postings: DataFrame, path: str, per_line: int = IDS_PER_LINE) -> None:
-    posting_lines(postings, per_line).write.partitionBy("group_id").text(path)
+    posting_lines(postings, per_line).hint("rebalance", "group_id").write.partitionBy("group_id").text(path)
 
 
 def parse_postings(lines: DataFrame) -> DataFrame:

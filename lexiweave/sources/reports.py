@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clusters import cluster_members
+from ..runtime import fits_broadcast, keyed_join
 
 # Longest member list on one line; longer clusters take several lines.
 MEMBERS_PER_LINE = 100_000
@@ -64,14 +65,22 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
 
     A group without nodes gets no rows; both folders always exist.
     """
-    nodes.select("group_id", "node", "term", "size", "slot").write.partitionBy("group_id").csv(f"{path}/nodes")
-    ids = nodes.select("group_id", "term", "node")
-    pairs = edges.join(
-        ids.select("group_id", F.col("term").alias("src"), F.col("node").alias("v1")), ["group_id", "src"]
-    ).join(ids.select("group_id", F.col("term").alias("dst"), F.col("node").alias("v2")), ["group_id", "dst"])
-    pairs.select(
+    columns = nodes.select("group_id", "node", "term", "size", "slot")
+    columns.hint("rebalance", "group_id").write.partitionBy("group_id").csv(f"{path}/nodes")
+    first = nodes.select("group_id", F.col("term").alias("src"), F.col("node").alias("v1"))
+    second = nodes.select("group_id", F.col("term").alias("dst"), F.col("node").alias("v2"))
+    small = fits_broadcast(first)
+    pairs = keyed_join(
+        keyed_join(edges, first, ["group_id", "src"], ["dst"], small),
+        second,
+        ["group_id", "dst"],
+        ["src"],
+        small,
+    )
+    rows = pairs.select(
         "group_id", F.least("v1", "v2").alias("v1"), F.greatest("v1", "v2").alias("v2"), "w"
-    ).write.partitionBy("group_id").csv(f"{path}/edges")
+    )
+    rows.hint("rebalance", "group_id").write.partitionBy("group_id").csv(f"{path}/edges")
 
 
 def read_graph_nodes(spark: SparkSession, path: str) -> DataFrame:

@@ -55,8 +55,10 @@ def read_grouped_lines(spark: SparkSession, directory: str | Sequence[str]) -> D
     The group is the file name without ``.txt``, the id the line number from 0.
     One job reads all files.
     """
+    # File paths arrive percent-encoded; a plus sign in a name is itself.
+    path = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
     return _numbered_lines(spark, directory).select(
-        parse_group_id(F.col("file")).alias("group_id"), "doc_id", "text"
+        parse_group_id(path).alias("group_id"), "doc_id", "text"
     )
 
 
