@@ -72,15 +72,13 @@ def profile_vectors(
     ``profiles`` has one array column per field; ``weighted`` is
     ``(term, idx, weight)``. Only values above 0 are kept.
     """
-    flat = F.concat(
-        *[
-            F.transform(
-                F.array_distinct(F.coalesce(F.col(name), F.array().cast("array<string>"))),
-                lambda term, p=priority: F.struct(F.lit(p).alias("priority"), term.alias("term")),
-            )
-            for priority, name in [*[(0, one) for one in ones], (1, weighted_field)]
-        ]
-    )
+    def ranked(name: str, priority: int) -> Column:
+        terms = F.array_distinct(F.coalesce(F.col(name), F.array().cast("array<string>")))
+        return F.transform(
+            terms, lambda term: F.struct(F.lit(priority).alias("priority"), term.alias("term"))
+        )
+
+    flat = F.concat(*[ranked(name, 0) for name in ones], ranked(weighted_field, 1))
     tokens = profiles.select(id_col, F.explode(flat).alias("t")).select(id_col, "t.term", "t.priority")
     known = lookup_join(tokens, weighted.select("term", "idx", "weight"), ["term"], [id_col])
     value = F.when(F.col("priority") == 1, F.col("weight")).otherwise(F.lit(1.0))
@@ -115,7 +113,7 @@ def sparse_vectors(long: DataFrame, size: int, id_col: str = "doc_id", out: str
     The parts of a vector are stored as plain columns and read back with the
     vector type.
     """
-    entries = F.sort_array(F.collect_list(F.struct(F.col("idx").cast("int"), "value")))
+    entries = F.sort_array(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), "value")))
     parts = (
         long.groupBy(id_col)
         .agg(entries.alias("_e"))

@@ -228,8 +228,9 @@ def _(t):
 
 @query(
     "fe7_idf_stage",
-    """SELECT vec_id AS member, unnest(list_transform(embedding, lambda x: x::DOUBLE)) * ln(1.0::DOUBLE) + 0.0 AS value,
-      generate_subscripts(embedding, 1) - 1 AS idx FROM embeddings""",
+    f"""WITH {SQL_ENTRIES}, w AS (SELECT idx, ln((count(*) + 1.0::DOUBLE) / (count_if(value > 0) + 1.0::DOUBLE)) AS w
+        FROM e GROUP BY 1)
+      SELECT member, idx, round(value * w, 6) + 0.0 AS value FROM e JOIN w USING (idx)""",
 )
 def _(t):
     return _entries(idf(_points(t), "features", "out"), "out")
