@@ -19,7 +19,7 @@ def class_flag(record: Column, marker: str) -> Column:
 
 
 def drop_empty(items: Column) -> Column:
-    return F.filter(items, lambda item: item != F.lit(""))
+    return F.array_remove(items, F.lit(""))
 
 
 def split_values(value: Column, separator: str = ",") -> Column:
@@ -39,7 +39,7 @@ def profile_tag_array(
         F.coalesce(split_values(extract_field(record, tag), separator), F.array().cast("array<string>"))
         for tag in multi
     ]
-    return F.filter(F.concat(ones, *lists), lambda tag: tag.isNotNull())
+    return F.array_compact(F.concat(ones, *lists))
 
 
 def parse_group_id(path: Column) -> Column:

@@ -8,34 +8,22 @@ from pyspark.sql import functions as F
 from .fields import drop_empty
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
-HAN_RUN = r"(\p{IsHan}+)"
 # Two ranges that cover all Han characters and little else; a cheap first test.
 MAY_HOLD_HAN = r"[\u2E80-\uFAFF\x{16FE0}-\x{3FFFF}]"
-
-
-def _bigrams(run: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.length(run) - 1), lambda start: F.substring(run, start, F.lit(2))
-    )
+# A Han character with its successor, the last one of a run, or a single one.
+HAN_STEP = r"(\p{IsHan})(?=(\p{IsHan}))|(?<=\p{IsHan})\p{IsHan}|(\p{IsHan})"
 
 
 def words(text: Column) -> Column:
     """Lower-cased words in order; runs of Han characters become character bigrams.
 
-    The bigram branch is evaluated only for texts that hold such a run.
+    A run ``ABC`` is rewritten to ``AB BC`` before the split, so the whole
+    expression is code-generated; texts without such runs skip the rewriting.
     """
     lowered = F.lower(text)
-    plain = drop_empty(F.split(lowered, WORD_BREAK))
-    spaced = drop_empty(F.split(F.regexp_replace(lowered, HAN_RUN, " $1 "), WORD_BREAK))
-    mixed = F.flatten(
-        F.transform(
-            spaced,
-            lambda run: F.when(
-                run.rlike(r"^\p{IsHan}") & (F.length(run) > 1), _bigrams(run)
-            ).otherwise(F.array(run)),
-        )
-    )
-    return F.when(F.rlike(text, F.lit(MAY_HOLD_HAN)), mixed).otherwise(plain)
+    spaced = F.regexp_replace(lowered, HAN_STEP, " $1$2$3 ")
+    prepared = F.when(F.rlike(text, F.lit(MAY_HOLD_HAN)), spaced).otherwise(lowered)
+    return drop_empty(F.split(prepared, WORD_BREAK))
 
 
 def blank_split(text: Column) -> Column:

@@ -22,9 +22,9 @@ from ..runtime import (
     task_count,
 )
 
-# Terms of one document handled by one row when pairs are built. Documents with
-# more distinct terms are split into several rows, which go to several tasks.
-PAIR_CHUNK = 512
+# Ranges of first terms that pairs are built for. Rows of one range meet in few
+# tasks, so that a task sees few different pairs and reduces them well.
+PAIR_RANGES = 64
 
 
 def assign_doc_id(df: DataFrame, order_by: Sequence[str], out: str = "doc_id") -> DataFrame:
@@ -141,26 +141,41 @@ def cooccurrence(postings_df: DataFrame, theta: DataFrame | None = None) -> Data
     small = fits_broadcast(numbered)
     coded = keyed_join(postings_df, numbered, ["group_id", "term"], ["doc_id"], small)
 
-    # One row per document, or several for one with very many terms; documents
-    # with equal terms are merged and counted.
+    # One row per document; documents with equal terms are merged and counted.
     per_doc = coded.groupBy("group_id", "doc_id").agg(F.sort_array(F.collect_set("tid")).alias("tids"))
-    starts = F.sequence(F.lit(0), F.size("tids") - 1, F.lit(PAIR_CHUNK))
-    merged = (
-        per_doc.where(F.size("tids") > 1)
-        .select(F.explode(starts).alias("start"), "tids")
-        .groupBy("start", "tids")
-        .agg(F.count("*").alias("copies"))
-        .repartition(task_count(postings_df.sparkSession))
+    merged = per_doc.where(F.size("tids") > 1).groupBy("tids").agg(F.count("*").alias("copies"))
+
+    # One row per document and range of first terms. A range is shared by several
+    # tasks when there are more tasks than ranges, and the pairs of a document
+    # with very many terms are shared by the tasks of all ranges.
+    tasks = task_count(postings_df.sparkSession)
+    shares = -(-tasks // PAIR_RANGES)
+    width = max(1, -(-numbered.count() // PAIR_RANGES))
+    ranges = F.transform("tids", lambda tid: F.floor(tid / width))
+    task = F.col("range") * shares + F.pmod(F.xxhash64("tids"), F.lit(shares))
+    rows = (
+        merged.select("tids", "copies", ranges.alias("ranges"))
+        .select("tids", "copies", "ranges", F.explode(F.array_distinct("ranges")).alias("range"))
+        .select(
+            "tids",
+            "copies",
+            F.array_position("ranges", F.col("range")).cast("int").alias("first"),
+            F.size(F.filter("ranges", lambda one: one == F.col("range"))).alias("length"),
+            task.cast("int").alias("task"),
+        )
+        .repartitionById(PAIR_RANGES * shares, F.col("task"))
     )
-    chunk = F.slice("tids", F.col("start") + 1, F.lit(PAIR_CHUNK))
     pairs = (
-        merged.select("start", "tids", "copies", F.posexplode(chunk).alias("offset", "a"))
+        rows.select(
+            "tids",
+            "copies",
+            "first",
+            F.posexplode(F.slice("tids", F.col("first"), F.col("length"))).alias("offset", "a"),
+        )
         .select(
             "copies",
             "a",
-            F.explode(
-                F.slice("tids", F.col("start") + F.col("offset") + 2, F.size("tids"))
-            ).alias("b"),
+            F.explode(F.slice("tids", F.col("first") + F.col("offset") + 1, F.size("tids"))).alias("b"),
         )
         .groupBy("a", "b")
         .agg(F.sum("copies").alias("w"))

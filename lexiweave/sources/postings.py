@@ -41,12 +41,14 @@ def write_postings(postings: DataFrame, path: str, per_line: int = IDS_PER_LINE)
 def parse_postings(lines: DataFrame) -> DataFrame:
     """``(group_id, line)`` back to ``(group_id, term, doc_id)``."""
     ids = F.split(F.regexp_replace(F.regexp_extract("line", r"\[([^\]]*)\]\s*$", 1), r"\s", ""), ",")
+    # The parts of a line are cut before its ids become rows.
+    parts = lines.select(
+        "group_id",
+        F.regexp_extract("line", r"^(.*):\[", 1).alias("term"),
+        F.array_remove(ids, F.lit("")).alias("ids"),
+    )
     return (
-        lines.select(
-            "group_id",
-            F.regexp_extract("line", r"^(.*):\[", 1).alias("term"),
-            F.explode(F.filter(ids, lambda one: one != "")).alias("id"),
-        )
+        parts.select("group_id", "term", F.explode("ids").alias("id"))
         .select("group_id", "term", F.expr("try_cast(id AS bigint)").alias("doc_id"))
         .where(F.col("doc_id").isNotNull())
     )

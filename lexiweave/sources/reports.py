@@ -23,13 +23,12 @@ def write_cluster_members(assign: DataFrame, path: str, per_line: int = MEMBERS_
 
 def read_cluster_members(spark: SparkSession, path: str) -> DataFrame:
     """``cluster:member,member`` lines as ``(cluster, member)``."""
-    parts = F.split(F.col("value"), ":")
+    parts = spark.read.text(path, lineSep="\n").select(
+        F.expr("try_cast(split(value, ':')[0] AS int)").alias("cluster"),
+        F.split(F.get(F.split("value", ":"), 1), ",").alias("members"),
+    )
     return (
-        spark.read.text(path, lineSep="\n")
-        .select(
-            F.expr("try_cast(split(value, ':')[0] AS int)").alias("cluster"),
-            F.explode(F.split(F.get(parts, 1), ",")).alias("m"),
-        )
+        parts.select("cluster", F.explode("members").alias("m"))
         .select("cluster", F.expr("try_cast(m AS bigint)").alias("member"))
         .where(F.col("cluster").isNotNull() & F.col("member").isNotNull())
     )
