@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import explode_once
 from ..runtime import dense_index, lookup_join
 from .terms import top_k
 
@@ -44,7 +45,7 @@ def cluster_tag_counts(assign: DataFrame, tags: DataFrame, tag: str = "tag") ->
     ``tags`` is ``(member, tag)`` or has an array column ``tags``.
     """
     if "tags" in tags.columns and tag not in tags.columns:
-        joined = members_with_rows(assign, tags).select("cluster", F.explode("tags").alias(tag))
+        joined = explode_once(members_with_rows(assign, tags), ["cluster"], "tags", tag)
     else:
         joined = members_with_rows(assign, tags)
     return joined.groupBy("cluster", tag).agg(F.count("*").alias("n"))
@@ -53,8 +54,7 @@ def cluster_tag_counts(assign: DataFrame, tags: DataFrame, tag: str = "tag") ->
 def cluster_words(assign: DataFrame, docs: DataFrame, terms: str = "terms") -> DataFrame:
     """Word counts of each cluster; ``docs`` has one array of words per member."""
     return (
-        assign.join(docs, "member")
-        .select("cluster", F.explode(terms).alias("term"))
+        explode_once(assign.join(docs, "member"), ["cluster"], terms)
         .groupBy("cluster", "term")
         .agg(F.count("*").alias("n"))
     )

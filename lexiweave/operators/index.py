@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WORD_BREAK, words
 from ..functions.fields import drop_empty
+from ..functions.rows import explode_once
 from ..runtime import (
     dense_index,
     fits_broadcast,
@@ -61,8 +62,8 @@ def postings(
         return substring_postings(source, vocabulary)
     if match != "token":
         raise ValueError("match is 'token' or 'substring'")
-    tokens = source.select(
-        "group_id", "doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term")
+    tokens = explode_once(
+        source, ["group_id", "doc_id"], F.array_distinct(words(F.col("text")))
     )
     return lookup_join(
         tokens, vocabulary.select("group_id", "term"), ["group_id", "term"], ["doc_id"]
@@ -81,10 +82,11 @@ def substring_postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     compact = vocab.where(~F.rlike("term", F.lit(WORD_BREAK)))
     other = vocab.where(F.rlike("term", F.lit(WORD_BREAK)))
 
-    runs = docs.select(
-        "group_id",
-        "doc_id",
-        F.explode(F.array_distinct(drop_empty(F.split(F.lower("text"), WORD_BREAK)))).alias("run"),
+    runs = explode_once(
+        docs,
+        ["group_id", "doc_id"],
+        F.array_distinct(drop_empty(F.split(F.lower("text"), WORD_BREAK))),
+        "run",
     )
     dictionary = runs.select("group_id", "run").distinct()
     # Only lengths that occur in the vocabulary of the group are cut out.
@@ -97,10 +99,16 @@ def substring_postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
         .withColumn("_start", F.explode(F.sequence(F.lit(1), F.length("run") - F.col("_len") + 1)))
         .select("group_id", "run", F.expr("substring(run, _start, _len)").alias("term"))
     )
+    # One row per run with the terms inside it, so the rows of a run do not multiply
+    # in the join.
     matches = materialize(
-        lookup_join(cuts, compact, ["group_id", "term"], ["run"]).distinct(), "matches"
+        lookup_join(cuts, compact, ["group_id", "term"], ["run"])
+        .groupBy("group_id", "run")
+        .agg(F.collect_set("term").alias("inside")),
+        "matches",
     )
-    inside = lookup_join(runs, matches, ["group_id", "run"], ["doc_id"])
+    found = lookup_join(runs, matches, ["group_id", "run"], ["doc_id"])
+    inside = explode_once(found, ["group_id", "doc_id"], "inside")
     across = lookup_join(
         docs.select("group_id", "doc_id", "text"), other, ["group_id"], ["doc_id"]
     ).where(F.contains(F.lower("text"), F.col("term")))
@@ -165,18 +173,15 @@ def cooccurrence(postings_df: DataFrame, theta: DataFrame | None = None) -> Data
         )
         .repartitionById(PAIR_RANGES * shares, F.col("task"))
     )
+    firsts = rows.select(
+        "tids",
+        "copies",
+        "first",
+        F.posexplode(F.slice("tids", F.col("first"), F.col("length"))).alias("offset", "a"),
+    )
+    later = F.slice("tids", F.col("first") + F.col("offset") + 1, F.size("tids"))
     pairs = (
-        rows.select(
-            "tids",
-            "copies",
-            "first",
-            F.posexplode(F.slice("tids", F.col("first"), F.col("length"))).alias("offset", "a"),
-        )
-        .select(
-            "copies",
-            "a",
-            F.explode(F.slice("tids", F.col("first") + F.col("offset") + 1, F.size("tids"))).alias("b"),
-        )
+        explode_once(firsts, ["copies", "a"], later, "b")
         .groupBy("a", "b")
         .agg(F.sum("copies").alias("w"))
     )

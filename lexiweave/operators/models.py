@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import lookup_join, scratch_root
+from ..runtime import lookup_join, materialize, scratch_root
 
 # Settings of the standard jobs.
 LDA_TOPICS = 50
@@ -56,13 +56,16 @@ def fit_naive_bayes(df: DataFrame, smoothing: float = 1.0):
     return NaiveBayes(smoothing=smoothing, modelType="multinomial").fit(df)
 
 
-def naive_bayes_terms(long: DataFrame, labels: DataFrame, n_terms: int, smoothing: float = 1.0, id_col: str = "doc_id") -> DataFrame:
+def naive_bayes_terms(
+    long: DataFrame, labels: DataFrame, n_terms: int, smoothing: float = 1.0, id_col: str = "doc_id"
+) -> DataFrame:
     """Log probability of each term seen in a class: ``(label, idx, log_prob)``."""
     counts = (
         long.join(labels.select(id_col, "label"), id_col)
         .groupBy("label", "idx")
         .agg(F.sum("value").alias("n"))
     )
+    counts = materialize(counts, "class_terms")
     totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
     return lookup_join(counts, totals, ["label"], ["idx"]).select(
         "label",

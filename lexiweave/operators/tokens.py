@@ -8,6 +8,7 @@ from pyspark.ml.feature import Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import explode_once
 from ..functions.text import blank_split, words
 from ..runtime import lookup_join
 
@@ -32,7 +33,7 @@ def explode_tokens(df: DataFrame, terms: str = "terms", position: bool = False)
     keep = [F.col(c) for c in df.columns if c != terms]
     if position:
         return df.select(*keep, F.posexplode(terms).alias("pos", "term"))
-    return df.select(*keep, F.explode(terms).alias("term"))
+    return explode_once(df, keep, terms)
 
 
 def distinct_tokens(df: DataFrame, terms: str = "terms") -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.rows import explode_once
 from ..runtime import fits_broadcast, keyed_join, lookup_join, materialize
 
 
@@ -79,7 +80,7 @@ def profile_vectors(
         )
 
     flat = F.concat(*[ranked(name, 0) for name in ones], ranked(weighted_field, 1))
-    tokens = profiles.select(id_col, F.explode(flat).alias("t")).select(id_col, "t.term", "t.priority")
+    tokens = explode_once(profiles, [id_col], flat, "t").select(id_col, "t.term", "t.priority")
     known = lookup_join(tokens, weighted.select("term", "idx", "weight"), ["term"], [id_col])
     value = F.when(F.col("priority") == 1, F.col("weight")).otherwise(F.lit(1.0))
     return (
@@ -183,6 +184,7 @@ def idf_long(long: DataFrame, n_docs: int, id_col: str = "doc_id") -> DataFrame:
     weights = long.groupBy("idx").agg(
         F.log((F.lit(n_docs) + 1.0) / (F.count("*") + 1.0)).alias("_w")
     )
+    weights = materialize(weights, "weights")
     return lookup_join(long, weights, ["idx"], [id_col]).select(
         id_col, "idx", (F.col("value") * F.col("_w")).alias("value")
     )
@@ -205,6 +207,7 @@ def deviation_long(long: DataFrame, n_rows: int) -> DataFrame:
 def scale_long(long: DataFrame, deviation: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Divide by a fitted deviation; a constant dimension becomes zero."""
     scaled = F.when(F.col("sd") > 0, F.col("value") / F.col("sd")).otherwise(F.lit(0.0))
+    deviation = materialize(deviation, "deviation")
     return lookup_join(long, deviation, ["idx"], [id_col]).select(
         id_col, "idx", scaled.alias("value")
     )
@@ -258,7 +261,7 @@ def chi_square_scores(long: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     cells = (
         long.join(labels, id_col).groupBy("idx", "value", "label").agg(F.count("*").alias("o"))
     )
-    cells = lookup_join(cells, totals, ["label"], ["idx"])
+    cells = materialize(lookup_join(cells, totals, ["label"], ["idx"]), "cells")
     observed = F.col("o") * F.col("o") / F.col("n_label")
     rows = cells.groupBy("idx", "value").agg(
         F.sum("o").alias("r"), (F.sum(observed) / F.sum("o")).alias("part")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import explode_once
 from ..functions.text import words
 from ..operators.graph import (
     communities,
@@ -25,7 +26,7 @@ INDEX_CLASSES = ("noun", "verb")
 
 def index_vocabulary(docs: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Terms ``(group_id, term, n)`` that are frequent enough for their group."""
-    tokens = docs.select("group_id", "doc_id", F.explode(words(F.col("text"))).alias("term"))
+    tokens = explode_once(docs, ["group_id", "doc_id"], words(F.col("text")))
     if lexicon is not None:
         tokens = keep_classes(tokens, lexicon, INDEX_CLASSES)
     counts = term_counts(tokens, ["group_id"])

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rows import explode_once
 from ..functions.text import words
 
 
@@ -28,9 +29,7 @@ class Tables:
         return self.documents.select(F.col("lang").alias("group_id"), "doc_id", "text")
 
     def tokens(self) -> DataFrame:
-        return self.comments().select(
-            "group_id", "doc_id", F.explode(words(F.col("text"))).alias("term")
-        )
+        return explode_once(self.comments(), ["group_id", "doc_id"], words(F.col("text")))
 
     def labelled(self, label: str) -> DataFrame:
         """Word arrays of the labelled documents."""

@@ -13,7 +13,6 @@ from ..functions.fields import (
     profile_tag_array,
     split_values,
 )
-from ..functions.text import words
 from ..operators.affinity import group_affinity, tag_affinity, two_sided_affinity, word_affinity, class_counts
 from ..operators.clusters import assign_soft
 from ..operators.index import assign_doc_id, first_occurrence_id, skip_done

@@ -17,7 +17,7 @@ from lexiweave.operators.graph import (
     simplify,
     threshold_edges,
 )
-from lexiweave.plans.word_graph import build_index, index_vocabulary, word_graph
+from lexiweave.plans.word_graph import index_vocabulary, word_graph
 
 POSTINGS = "group_id string, term string, doc_id bigint"
 EDGES = "group_id string, src string, dst string, w bigint"
