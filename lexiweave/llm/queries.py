@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexiweave.llm import simhash
+from lexiweave.llm import langid, packing, secrets, simhash
+from lexiweave.llm.batches import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,7 +27,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a network trained on rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~held_out(F.col("doc_id")))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by patterns and by the field trained on them."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs))
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
