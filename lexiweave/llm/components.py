@@ -18,6 +18,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     is a stored table, so a lost executor repeats one round at most.
     """
     both = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
+    both = materialize(both, "pairs")
     loops = both.where("a = b").select("a", "b")
     edges = materialize(
         both.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),

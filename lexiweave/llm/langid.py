@@ -264,8 +264,14 @@ def predict(docs: DataFrame, model: BiGru | None, text_col: str = "text") -> Dat
 
 
 def keep_known(docs: DataFrame, model: BiGru | None, text_col: str = "text", min_score: float = 0.3) -> DataFrame:
-    """Rows whose language is known with at least ``min_score``, with the columns they came with."""
+    """Rows whose language is known with at least ``min_score``, with the columns they came with.
+
+    Null texts and texts without a letter go. Without a model every text with a letter stays.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    named = docs.select(*columns) if docs.columns else docs
-    found = predict(named, model, text_col)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*columns)
+    if model is None:
+        return docs.where(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    renamed = {"lang_pred": "_earlier_lang_pred", "score": "_earlier_score"}
+    found = predict(docs.withColumnsRenamed(renamed), model, text_col)
+    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).drop("lang_pred", "score")
+    return kept.withColumnsRenamed({v: k for k, v in renamed.items()}).select(*columns)

@@ -246,3 +246,20 @@ def near_duplicates(
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
+
+    Of rows that repeat an id one stays. Rows with a null id cannot be named and stay.
+    """
+    found = near_duplicates(docs, id_col, text_col, **options)
+    gone = materialize(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
+    kept = docs.join(gone, id_col, "left_anti")
+    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    repeated = materialize(repeated, "repeated")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = kept.join(repeated, id_col, "left_anti").select(*columns)
+    if repeated.isEmpty():
+        return kept.select(*columns)
+    return single.unionByName(kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(*columns))
