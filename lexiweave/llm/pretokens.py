@@ -95,9 +95,12 @@ class PieceTable:
         self.values = np.zeros(1 << 16, self.dtype)
         self.bounds = np.zeros(1 << 12, np.int64)
 
-    def look_up(self, joined: str, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def look_up(
+        self, joined: str, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """(first value, number of values) of every piece, as positions in ``values``."""
-        ends = np.append(starts[1:], len(codes))
+        if ends is None:
+            ends = np.append(starts[1:], len(codes))
         symbols = scramble(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
         hashes, first, back = np.unique(span_hashes(symbols, starts, ends), return_index=True, return_inverse=True)
         if len(self.slots) + len(hashes) > self.max_pieces and self.slots:

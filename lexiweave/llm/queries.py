@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiweave.llm import decontaminate, langid, packing, secrets, simhash
+from lexiweave.llm import decontaminate, langid, multiindex, packing, secrets, simhash, tokencounts
 from lexiweave.llm.batches import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_multi_index_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by patterns and by the field trained on them."""
@@ -56,6 +62,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and how much of it fits 1024 tokens."""
+    return tokencounts.token_counts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""
