@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
@@ -35,6 +35,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def drawn(df: DataFrame, digest: Column, size: int, total: int) -> DataFrame:
+    """About ``size`` of ``total`` rows, chosen by a hash, and never more than twice as many.
+
+    The rate is set before rows are read, so a task gives its share and not ``size`` rows.
+    """
+    rate = min(1.0, size / max(total, 1))
+    chosen = F.pmod(F.xxhash64(digest, F.lit(3)), F.lit(1 << 30)) < int(rate * (1 << 30))
+    return df.where(chosen).limit(2 * size)
+
+
 def _table(length: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < length:
@@ -102,3 +112,54 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     stops[cuts] |= inside[cuts - 1] & (cuts > 0)
     ends = np.flatnonzero(stops)
     return starts, ends, np.searchsorted(starts, offsets)
+
+
+# Bytes of letters and digits, with all of UTF-8 beyond ASCII, and bytes that end a sentence.
+_CORE = np.zeros(256, bool)
+_CORE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_STOPS = np.zeros(256, bool)
+_STOPS[[ord(c) for c in ".!?:;"]] = True
+
+
+def cores(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words without punctuation around them: which words have a core, and its start and end."""
+    n = len(data)
+    place = np.arange(n)
+    ahead = np.minimum.accumulate(np.where(_CORE[data], place, n)[::-1])[::-1]
+    behind = np.maximum.accumulate(np.where(_CORE[data], place, -1))
+    solid = np.flatnonzero(ahead[starts] < ends) if len(starts) else np.zeros(0, np.int64)
+    return solid, ahead[starts[solid]], behind[ends[solid] - 1] + 1
+
+
+def openings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Whether a word opens a sentence: first of its text, after a stop or on a new line."""
+    lines = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(data == 10, out=lines[1:])
+    opens = np.ones(len(starts), bool)
+    opens[1:] = (text[1:] != text[:-1]) | _STOPS[data[ends[:-1] - 1]] | (lines[starts[1:]] > lines[starts[:-1]])
+    return opens
+
+
+def fold_case(data: np.ndarray) -> np.ndarray:
+    """Lower-case ASCII and the Latin-1 letters of UTF-8 text."""
+    low = data.copy()
+    low[(data >= 65) & (data <= 90)] += 32
+    after = np.zeros(len(data), bool)
+    after[1:] = data[:-1] == 0xC3
+    low[after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 32
+    return low
+
+
+def char_places(data: np.ndarray) -> np.ndarray:
+    """Code points before every byte, and before the end."""
+    place = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=place[1:])
+    return place
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that is not in use."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiweave.llm.batches import byte_symbols, scramble, span_hashes, text_slices, words
+from lexiweave.llm.batches import byte_symbols, cores, fold_case, fresh, openings, scramble, span_hashes, text_slices, words
 from lexiweave.runtime import fits_broadcast, keyed_join, lookup_join, materialize
 
 WINDOW = 8
@@ -38,21 +38,6 @@ _FILTER_BITS = 24
 _MULTIPLIER = np.uint64(0xC2B2AE3D27D4EB4F)
 _NUMBER, _UNIT, _NAME = (scramble(np.array([x], np.uint64))[0] for x in (101, 102, 103))
 
-_CORE = np.zeros(256, bool)
-_CORE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_STOPS = np.zeros(256, bool)
-_STOPS[[ord(c) for c in ".!?:;"]] = True
-
-
-def _fold(data: np.ndarray) -> np.ndarray:
-    """Lower-case ASCII and the Latin-1 letters of UTF-8 text."""
-    low = data.copy()
-    low[(data >= 65) & (data <= 90)] += 32
-    after = np.zeros(len(data), bool)
-    after[1:] = data[:-1] == 0xC3
-    low[after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 32
-    return low
-
 
 def _unit_hashes() -> np.ndarray:
     data = np.frombuffer("".join(UNITS).encode(), np.uint8)
@@ -70,23 +55,14 @@ def templates(data: np.ndarray, offsets: np.ndarray, units: np.ndarray) -> tuple
     """(text, token hash, value hash, literal?) of the template tokens of a slice, in order."""
     starts, ends, first = words(data, offsets)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    n = len(data)
-    spots = np.where(_CORE[data], np.arange(n), n)
-    ahead = np.minimum.accumulate(spots[::-1])[::-1]
-    behind = np.maximum.accumulate(np.where(_CORE[data], np.arange(n), -1))
-    closes = _STOPS[data[ends - 1]] if len(ends) else np.zeros(0, bool)
-    newline = np.zeros(n + 1, np.int64)
-    np.cumsum(data == 10, out=newline[1:])
-    opening = np.ones(len(starts), bool)
-    opening[1:] = (text[1:] != text[:-1]) | closes[:-1] | (newline[starts[1:]] > newline[starts[:-1]])
-    solid = np.flatnonzero(ahead[starts] < ends) if len(starts) else np.zeros(0, np.int64)
-    begin, end = ahead[starts[solid]], behind[ends[solid] - 1] + 1
+    opening = openings(data, starts, ends, text)
+    solid, begin, end = cores(data, starts, ends)
     text, opening = text[solid], opening[solid]
-    low = _fold(data)
+    low = fold_case(data)
     values = span_hashes(byte_symbols(low), begin, end) if len(solid) else np.zeros(0, np.uint64)
     head = data[begin]
     number = (head >= 48) & (head <= 57)
-    limit = max(n - 1, 0)
+    limit = max(len(data) - 1, 0)
 
     def capital(at: np.ndarray) -> np.ndarray:
         here, after = data[np.minimum(at, limit)], np.minimum(at + 1, limit)
@@ -234,6 +210,7 @@ def leaks(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item, with the columns they came with."""
     dirty = leaks(docs, benchmark, id_col, text_col, **options)
-    dirty = materialize(dirty.select(F.col("text_key").alias("_key")).distinct(), "leaks")
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(text_col)))
-    return lookup_join(keyed, dirty, ["_key"], [id_col], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = fresh("_key", docs.columns)
+    dirty = materialize(dirty.select(F.col("text_key").alias(key)).distinct(), "leaks")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(text_col)))
+    return lookup_join(keyed, dirty, [key], [id_col], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

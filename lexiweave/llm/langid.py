@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiweave.llm.batches import text_slices
+from lexiweave.llm.batches import fresh, text_slices
 
 HIDDEN = 8
 # Bytes that the network reads before its state starts anew. Every byte of a text is read.
@@ -240,9 +240,10 @@ def predict(docs: DataFrame, model: BiGru | None, text_col: str = "text") -> Dat
     Texts that are null or have no letter are ``und`` with score 0, as is every text without a model.
     All other columns pass through, except earlier ones of these two names.
     """
-    docs = docs.drop("lang_pred", "score", "_letters")
+    docs = docs.drop("lang_pred", "score")
+    flag = fresh("_letters", docs.columns)
     kept = [F.col(f"`{c}`") for c in docs.columns]
-    source = docs.select(*kept, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    source = docs.select(*kept, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(flag))
     place = docs.columns.index(text_col)
     schema = docs.schema.add("lang_pred", "string").add("score", "double")
 
@@ -271,7 +272,7 @@ def keep_known(docs: DataFrame, model: BiGru | None, text_col: str = "text", min
     columns = [F.col(f"`{c}`") for c in docs.columns]
     if model is None:
         return docs.where(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
-    renamed = {"lang_pred": "_earlier_lang_pred", "score": "_earlier_score"}
+    renamed = {c: fresh(f"_{c}", docs.columns) for c in ("lang_pred", "score")}
     found = predict(docs.withColumnsRenamed(renamed), model, text_col)
     kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).drop("lang_pred", "score")
     return kept.withColumnsRenamed({v: k for k, v in renamed.items()}).select(*columns)

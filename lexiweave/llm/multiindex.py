@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiweave.llm.batches import drawn
 from lexiweave.llm.components import components
 from lexiweave.runtime import materialize, task_count
 
@@ -256,8 +257,7 @@ def near_duplicates(
 
     Vectors that are null, empty, zero or hold null or non-finite values link with nothing. Equal
     directions are one node with a number of copies, which all link with each other. Vectors of another
-    length than most of the sample are compared among their own length by the same index rules only if
-    they have that length; others stay alone. Rows with a repeated id count as separate vectors and
+    length than the most frequent one have no angle with those and stay alone. Rows with a repeated id count as separate vectors and
     carry the smallest id. An empty table gives no rows.
     """
     units = materialize(unit_vectors(df.where(F.col(id_col).isNotNull()), id_col, vector_col), "units")
@@ -267,8 +267,11 @@ def near_duplicates(
         return units.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     same = usable.where(F.octet_length("unit") == lengths[0]["size"])
     nodes = materialize(same.groupBy("unit").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "nodes")
-    drawn = nodes.orderBy(F.xxhash64("unit"), "node").limit(sample_vectors).select("unit").toPandas()
-    index = Index(_matrix(drawn["unit"]), codewords, min_cosine, target_recall)
+    count = nodes.count()
+    sample = drawn(nodes, F.col("unit"), sample_vectors, count).select("unit").toPandas()
+    if not len(sample):
+        sample = nodes.limit(1).select("unit").toPandas()
+    index = Index(_matrix(sample["unit"].sort_values()), codewords, min_cosine, target_recall)
     counts, stars = links(nodes.select("node", "copies", "unit"), index, min_cosine, block_rows)
     found = nodes.join(counts, "node", "left").join(components(stars).withColumnRenamed("id", "node"), "node", "left")
     found = materialize(

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiweave.llm import decontaminate, langid, multiindex, packing, secrets, simhash, tokencounts
+from lexiweave.llm import decontaminate, langid, multiindex, packing, quality, secrets, simhash, tokencounts, toxicity
 from lexiweave.llm.batches import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; the source is the host, its part in one language the path."""
+    docs, usable = table(spark, sf_dir, "documents"), ~held_out(F.col("doc_id"))
+    model = quality.train(docs, table(spark, sf_dir, "labels"), usable)
+    sited = docs.select("doc_id", "text", "source", F.concat_ws("/", "source", "lang").alias("section"))
+    return quality.posteriors(sited, model, "source", "section").withColumn("held_out", ~usable)
+
+
 @query
 def op4_multi_index_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
@@ -62,6 +71,16 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document and its offending sentences."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "offending"
+    )
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and how much of it fits 1024 tokens."""

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiweave.llm.batches import byte_symbols, span_hashes, text_slices, words
+from lexiweave.llm.batches import byte_symbols, drawn, span_hashes, text_slices, words
 
 # The patterns of the base spans and the least length of what they find.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -31,8 +31,9 @@ KINDS = ("assign", "access", "hex", "crf")
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 # Tables of the field: token shapes, hashed neighbouring words, file features.
 _SHAPES, _WORDS, _FILES = 4096, 1024, 16
-# Texts of the training sample, half of them with base spans; tokens of a text that are used.
+# Texts of the training sample, half of them with base spans; texts it is drawn from; tokens of a text that are used.
 SAMPLE_TEXTS = 1200
+POOL_TEXTS = 40000
 _TRAIN_TOKENS = 40
 
 
@@ -229,8 +230,10 @@ def _tagged(features: dict[str, np.ndarray], k: int, spans: list[tuple[int, int,
     return tags
 
 
-def train(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TEXTS) -> Field:
-    """Fit the field on at most ``sample_texts`` texts, chosen by a hash, half of them with base spans.
+def train(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TEXTS, pool_texts: int = POOL_TEXTS) -> Field:
+    """Fit the field on at most ``sample_texts`` texts, half of them with base spans if there are enough.
+
+    They come from about ``pool_texts`` texts that are chosen by a hash.
 
     Of a text, the tokens around its first base span are used, or around a hashed place.
     """
@@ -238,18 +241,18 @@ def train(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TE
     pattern = r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
     size = 2400
     digest = F.xxhash64(text)
+    pool = drawn(docs.where(text.isNotNull()).select(text.alias("t"), digest.alias("d")), F.col("d"), pool_texts, docs.count())
     # A window of the text around what the pattern finds, so long texts cost no more than short ones.
-    spot = F.regexp_instr(text, F.lit(pattern))
-    marked = docs.where(text.rlike(pattern)).select(
-        F.substring(text, F.greatest(spot - size // 2, F.lit(1)), F.lit(size)).alias("t"), digest.alias("d")
-    )
-    start = F.pmod(digest, F.greatest(F.length(text) - size, F.lit(1))) + 1
-    plain = docs.where(text.isNotNull() & ~text.rlike(pattern)).select(
-        F.substring(text, start.cast("int"), F.lit(size)).alias("t"), digest.alias("d")
+    spot = F.regexp_instr("t", F.lit(pattern))
+    start = F.when(spot > 0, F.greatest(spot - size // 2, F.lit(1))).otherwise(
+        F.pmod("d", F.greatest(F.length("t") - size, F.lit(1))) + 1
     )
+    windows = pool.select(F.substring("t", start.cast("int"), F.lit(size)).alias("t"), "d", (spot > 0).alias("marked"))
     half = sample_texts // 2
+    few = F.pmod(F.xxhash64("d", F.lit(9)), F.lit(pool_texts)) < sample_texts
+    rows = windows.where("marked").limit(half).collect() + windows.where(~F.col("marked") & few).limit(half).collect()
     field = Field()
-    texts = [x["t"] for part in (marked, plain) for x in part.orderBy("d").limit(half).collect()]
+    texts = [x["t"] for x in sorted(rows, key=lambda x: (x["d"], x["t"]))]
     if not texts:
         return field
     columns: dict[str, list[np.ndarray]] = {k: [] for k in field.names[:-1]}
