@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiweave.runtime import materialize
+
 SLICE_BYTES = 1 << 20
 
 # A fixed odd multiplier for span hashes and its inverse modulo 2**64.
@@ -163,3 +165,37 @@ def fresh(name: str, columns: list[str]) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of sorted batches, cut so that no group of the first ``n_keys`` columns is split."""
+    rest: list[list[np.ndarray]] = []
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        last = np.ones(len(columns[0]), bool)
+        for c in columns[:n_keys]:
+            last &= c == c[-1]
+        cut = len(last) - int(last.sum())
+        joined = rest and all(c[0] == r[-1] for c, r in zip(columns[:n_keys], rest[-1][:n_keys], strict=True))
+        if cut == 0 and joined:
+            rest.append(columns)
+            continue
+        if cut or rest:
+            head = [c[:cut] for c in columns]
+            yield [np.concatenate(x) for x in zip(*rest, head, strict=True)]
+        rest = [[c[cut:] for c in columns]]
+    if rest:
+        yield [np.concatenate(x) for x in zip(*rest, strict=True)]
+
+
+def one_row_per_id(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with one row of those that repeat an id; a table without such rows is not moved."""
+    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    repeated = materialize(repeated, "repeated")
+    if repeated.isEmpty():
+        return docs
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = docs.join(repeated, id_col, "left_anti").select(*columns)
+    return single.unionByName(docs.join(repeated, id_col, "left_semi").select(*columns).dropDuplicates([id_col]))

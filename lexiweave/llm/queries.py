@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiweave.llm import decontaminate, langid, multiindex, packing, quality, secrets, simhash, tokencounts, toxicity
+from lexiweave.llm import decontaminate, langid, multiindex, packing, quality, secrets, simhash, substrings, tokencounts, toxicity
 from lexiweave.llm.batches import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that documents share, with small differences."""
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiweave.llm.batches import one_row_per_id, whole_groups
 from lexiweave.llm.components import components
 from lexiweave.llm.tiles import BLOCK_ROWS, block_counts, in_tiles
 from lexiweave.runtime import materialize, task_count
@@ -190,29 +191,6 @@ def _spread(label_a: np.ndarray, label_b: np.ndarray, i: np.ndarray, j: np.ndarr
             break
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[list[np.ndarray]]:
-    """Columns of sorted batches, cut so that no group of the first ``n_keys`` columns is split."""
-    rest: list[list[np.ndarray]] = []
-    for batch in batches:
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if not len(columns[0]):
-            continue
-        last = np.ones(len(columns[0]), bool)
-        for c in columns[:n_keys]:
-            last &= c == c[-1]
-        cut = len(last) - int(last.sum())
-        joined = rest and all(c[0] == r[-1] for c, r in zip(columns[:n_keys], rest[-1][:n_keys], strict=True))
-        if cut == 0 and joined:
-            rest.append(columns)
-            continue
-        if cut or rest:
-            head = [c[:cut] for c in columns]
-            yield [np.concatenate(x) for x in zip(*rest, head, strict=True)]
-        rest = [[c[cut:] for c in columns]]
-    if rest:
-        yield [np.concatenate(x) for x in zip(*rest, strict=True)]
-
-
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -256,10 +234,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     found = near_duplicates(docs, id_col, text_col, **options)
     gone = materialize(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
     kept = docs.join(gone, id_col, "left_anti")
-    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
-    repeated = materialize(repeated, "repeated")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    single = kept.join(repeated, id_col, "left_anti").select(*columns)
-    if repeated.isEmpty():
-        return kept.select(*columns)
-    return single.unionByName(kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(*columns))
+    return one_row_per_id(kept.select(*[F.col(f"`{c}`") for c in docs.columns]), id_col)
