@@ -9,6 +9,7 @@ sentences then tell where a text offends.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from lexiweave.llm.batches import byte_symbols, char_places, cores, drawn, fold_
 BUCKETS = 1 << 18
 THRESHOLD = 0.3
 # Bound of the training sample: labelled texts, and the longest of them in characters.
-SAMPLE_TEXTS = 8000
+SAMPLE_TEXTS = 6000
 SAMPLE_CHARS = 16000
 # A word counts if it occurs in this many texts of the sample.
 LEAST_TEXTS = 8
@@ -45,6 +46,16 @@ def bags(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+@dataclass
+class Part:
+    """Texts of a training slice: the number of the first one, its words by sentence and texts of the sentences."""
+
+    first: int
+    word: np.ndarray
+    sentence: np.ndarray
+    text: np.ndarray
+
+
 class Model:
     """Word weights and the bias of a sentence."""
 
@@ -63,28 +74,31 @@ class Model:
         silent[none] = np.logaddexp(0, self.bias)
         return -np.expm1(-silent)
 
-    def fit(self, bag: dict[str, np.ndarray], labels: np.ndarray, steps: int = 120, rate: float = 0.25, decay: float = 2e-4) -> None:
-        """Adagrad on the mean likelihood of the texts' labels, through the noisy-or."""
+    def fit(self, parts: list[Part], labels: np.ndarray, steps: int = 120, rate: float = 0.25, decay: float = 2e-4) -> None:
+        """Adagrad on the mean likelihood of the texts' labels, through the noisy-or.
+
+        ``parts`` hold the words of some texts each, so that only one of them is worked on at a time.
+        """
         n = len(labels)
-        pairs = np.unique(bag["text"][bag["sentence"]] * BUCKETS + bag["word"])
-        known = np.bincount(pairs % BUCKETS, minlength=BUCKETS) >= LEAST_TEXTS
+        sentences = sum(len(p.text) for p in parts)
         share = min(max(labels.mean(), 1e-3), 1 - 1e-3)
-        self.bias = float(np.log(share / max(1.0, len(bag["text"]) / n)))
-        # Only words that occur often enough move.
-        used = known[bag["word"]]
-        words_, sentences = bag["word"][used], bag["sentence"][used]
+        self.bias = float(np.log(share / max(1.0, sentences / n)))
         pace, bias_pace = np.full(BUCKETS, 1e-8), 1e-8
         for _ in range(steps):
-            logits = self.bias + np.bincount(sentences, self.weights[words_], len(bag["text"]))
-            silent = np.bincount(bag["text"], np.logaddexp(0, logits), n)
-            loud = np.exp(-silent) / np.maximum(-np.expm1(-silent), 1e-9)
-            slope = np.exp(-np.logaddexp(0, -logits)) * np.where(labels == 1, -loud, 1.0)[bag["text"]] / n
-            grad = np.bincount(words_, slope[sentences], BUCKETS) + decay * self.weights
+            grad, bias_grad = decay * self.weights.astype(np.float64), 0.0
+            for part in parts:
+                count = int(part.text[-1]) + 1 if len(part.text) else 0
+                logits = self.bias + np.bincount(part.sentence, self.weights[part.word], len(part.text))
+                silent = np.bincount(part.text, np.logaddexp(0, logits), count)
+                loud = np.exp(-silent) / np.maximum(-np.expm1(-silent), 1e-9)
+                toward = np.where(labels[part.first : part.first + count] == 1, -loud, 1.0)
+                slope = np.exp(-np.logaddexp(0, -logits)) * toward[part.text] / n
+                grad += np.bincount(part.word, slope[part.sentence], BUCKETS)
+                bias_grad += slope.sum()
             pace += grad**2
             self.weights -= (rate * grad / np.sqrt(pace)).astype(np.float32)
-            grad = slope.sum()
-            bias_pace += grad**2
-            self.bias -= rate * grad / np.sqrt(bias_pace)
+            bias_pace += bias_grad**2
+            self.bias -= rate * bias_grad / np.sqrt(bias_pace)
 
 
 def train(
@@ -114,14 +128,21 @@ def train(
     model = Model()
     if not len(rows):
         return model
-    parts, at, sentences = [], 0, 0
-    for _, end, data, offsets in text_slices(pa.array(rows["text"])):
+    parts, texts_with = [], np.zeros(BUCKETS, np.int64)
+    for first, _, data, offsets in text_slices(pa.array(rows["text"])):
         bag = bags(data, offsets)
-        parts.append({"word": bag["word"], "sentence": bag["sentence"] + sentences, "text": bag["text"] + at})
-        at, sentences = end, sentences + len(bag["text"])
-    bag = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-    if len(bag["text"]):
-        model.fit(bag, rows["label"].to_numpy())
+        if not len(bag["text"]):
+            continue
+        pairs = np.unique(bag["text"][bag["sentence"]] * BUCKETS + bag["word"])
+        texts_with += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+        parts.append(Part(first, bag["word"].astype(np.int32), bag["sentence"].astype(np.int32), bag["text"].astype(np.int32)))
+    # Only words that occur often enough move.
+    known = texts_with >= LEAST_TEXTS
+    for part in parts:
+        used = known[part.word]
+        part.word, part.sentence = part.word[used], part.sentence[used]
+    if parts:
+        model.fit(parts, rows["label"].to_numpy())
     return model
 
 
