@@ -26,9 +26,9 @@ def members_with_rows(assign: DataFrame, profiles: DataFrame) -> DataFrame:
     return assign.join(profiles, "member")
 
 
-def predictions_with_text(predictions: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Cluster of each row beside its text; the id travels with the row."""
-    return predictions.select(id_col, "cluster").join(docs, id_col)
+def predictions_with_text(predicted: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """Cluster of each row beside its own columns; a model leaves them in the row, so nothing is joined."""
+    return predicted.withColumnRenamed(prediction, "cluster")
 
 
 def cluster_sizes(assign: DataFrame) -> DataFrame:
@@ -51,13 +51,9 @@ def cluster_tag_counts(assign: DataFrame, tags: DataFrame, tag: str = "tag") ->
     return joined.groupBy("cluster", tag).agg(F.count("*").alias("n"))
 
 
-def cluster_words(assign: DataFrame, docs: DataFrame, terms: str = "terms") -> DataFrame:
-    """Word counts of each cluster; ``docs`` has one array of words per member."""
-    return (
-        explode_once(assign.join(docs, "member"), ["cluster"], terms)
-        .groupBy("cluster", "term")
-        .agg(F.count("*").alias("n"))
-    )
+def cluster_words(clustered: DataFrame, terms: str = "terms") -> DataFrame:
+    """Word counts of each cluster; a row has its cluster and its array of words."""
+    return explode_once(clustered, ["cluster"], terms).groupBy("cluster", "term").agg(F.count("*").alias("n"))
 
 
 def top_tags(counts: DataFrame, k: int = 3, tag: str = "term") -> DataFrame:
@@ -110,6 +106,12 @@ def squared_distance(values: Column, centre: Column) -> Column:
     )
 
 
+def model_centres(model, spark) -> DataFrame:
+    """Centres of a clustering model, ``(cluster, centre)``."""
+    rows = [(k, [float(x) for x in c]) for k, c in enumerate(model.clusterCenters())]
+    return spark.createDataFrame(rows, "cluster int, centre array<double>")
+
+
 def clustering_cost(points: DataFrame, centres: DataFrame, values: str = "values") -> DataFrame:
     """Sum of squared distances to the centre of the own cluster, and rows counted."""
     joined = lookup_join(points, centres, ["cluster"], ["member"])

@@ -36,57 +36,76 @@ def assign_doc_id(df: DataFrame, order_by: Sequence[str], out: str = "doc_id") -
 def first_occurrence_id(docs: DataFrame, text: str = "text") -> DataFrame:
     """Smallest id of the documents of the group that have the same text.
 
-    Texts are compared by their SHA-256 digest, so they are not shuffled, and a
-    text that makes up a large part of a group is spread over many tasks.
+    Texts are compared by their SHA-256 digest, which is worked out once, so they are
+    not shuffled, and a text that makes up a large part of a group is no hot task.
     """
-    keyed = docs.select("group_id", "doc_id", F.sha2(text, 256).alias("_digest"))
+    keyed = docs.select("group_id", "doc_id", F.unhex(F.sha2(text, 256)).alias("_digest"))
     return spread_aggregate(
-        keyed, ["group_id", "_digest"], ["doc_id"], F.col("doc_id"), F.min, "first_id"
+        keyed, ["group_id", "_digest"], F.col("doc_id"), F.min, "first_id"
     ).select("group_id", "doc_id", "first_id")
 
 
-def collapse_copies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per distinct text of a group, under its smallest id.
-
-    Copies are merged before the shuffle.
-    """
-    return docs.groupBy("group_id", text).agg(F.min("doc_id").alias("doc_id"))
-
-
 def postings(
     docs: DataFrame, vocabulary: DataFrame, match: str = "token", merge_copies: bool = True
 ) -> DataFrame:
     """Documents that hold each vocabulary term ``(group_id, term)``."""
-    source = collapse_copies(docs) if merge_copies else docs.select("group_id", "doc_id", "text")
     if match == "substring":
-        return substring_postings(source, vocabulary)
+        return substring_postings(docs, vocabulary, merge_copies)
     if match != "token":
         raise ValueError("match is 'token' or 'substring'")
     tokens = explode_once(
-        source, ["group_id", "doc_id"], F.array_distinct(words(F.col("text")))
+        docs, ["group_id", "doc_id", _copy_key(merge_copies)], F.array_distinct(words(F.col("text")))
     )
-    return lookup_join(
+    found = lookup_join(
         tokens, vocabulary.select("group_id", "term"), ["group_id", "term"], ["doc_id"]
-    ).select("group_id", "term", "doc_id")
+    )
+    return _merge(found, merge_copies)
+
+
+def _copy_key(merge_copies: bool):
+    """Digest of the text beside its words; equal texts have equal words, so no text is shuffled."""
+    digest = F.unhex(F.sha2("text", 256)) if merge_copies else F.lit(None).cast("binary")
+    return digest.alias("_digest")
+
+
+def _merge(found: DataFrame, merge_copies: bool) -> DataFrame:
+    """Postings of distinct texts under the smallest id of their copies."""
+    if not merge_copies:
+        return found.select("group_id", "term", "doc_id")
+    return (
+        found.groupBy("group_id", "term", "_digest")
+        .agg(F.min("doc_id").alias("doc_id"))
+        .select("group_id", "term", "doc_id")
+    )
 
 
-def substring_postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def substring_postings(docs: DataFrame, vocabulary: DataFrame, merge_copies: bool = True) -> DataFrame:
     """Documents whose lower-cased text holds the term as a substring.
 
     A term of letters and digits lies inside one run of letters and digits. So
     the test is made once per distinct run, by joining the substrings of the run
-    to the vocabulary, and the runs are joined to the documents. Terms with other
-    characters are tested against the whole texts of their group.
+    to the vocabulary, and the runs are joined to the documents. A term with other
+    characters is looked up by its longest run, which must lie in a run of the text,
+    and then tested against the texts that hold that; one without letters and digits
+    is tested against the texts of its group. The runs are stored once.
     """
-    vocab = vocabulary.select("group_id", "term").distinct()
+    vocab = materialize(vocabulary.select("group_id", "term").distinct(), "vocabulary")
     compact = vocab.where(~F.rlike("term", F.lit(WORD_BREAK)))
     other = vocab.where(F.rlike("term", F.lit(WORD_BREAK)))
-
-    runs = explode_once(
-        docs,
-        ["group_id", "doc_id"],
-        F.array_distinct(drop_empty(F.split(F.lower("text"), WORD_BREAK))),
-        "run",
+    pieces = drop_empty(F.split(F.lower("term"), WORD_BREAK))
+    core = F.array_max(F.transform(pieces, lambda x: F.struct(F.length(x).alias("n"), x.alias("core"))))["core"]
+    other = materialize(other.withColumn("core", core), "other_terms")
+    cores = other.where("core is not null").select("group_id", F.col("core").alias("term")).distinct()
+    compact = materialize(compact.unionByName(cores).distinct(), "compact_terms")
+
+    runs = materialize(
+        explode_once(
+            docs,
+            ["group_id", "doc_id", _copy_key(merge_copies)],
+            F.array_distinct(drop_empty(F.split(F.lower("text"), WORD_BREAK))),
+            "run",
+        ),
+        "runs",
     )
     dictionary = runs.select("group_id", "run").distinct()
     # Only lengths that occur in the vocabulary of the group are cut out.
@@ -108,12 +127,24 @@ def substring_postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
         "matches",
     )
     found = lookup_join(runs, matches, ["group_id", "run"], ["doc_id"])
-    inside = explode_once(found, ["group_id", "doc_id"], "inside")
-    across = lookup_join(
-        docs.select("group_id", "doc_id", "text"), other, ["group_id"], ["doc_id"]
-    ).where(F.contains(F.lower("text"), F.col("term")))
-    columns = ["group_id", "term", "doc_id"]
-    return inside.select(*columns).distinct().unionByName(across.select(*columns))
+    inside = explode_once(found, ["group_id", "doc_id", "_digest"], "inside").distinct()
+    if other.isEmpty():
+        return _merge(lookup_join(inside, vocab, ["group_id", "term"], ["doc_id"], "left_semi"), merge_copies)
+    inside = materialize(inside, "inside")
+    whole = lookup_join(inside, vocab, ["group_id", "term"], ["doc_id"], "left_semi")
+    named = other.where("core is not null").select("group_id", F.col("core"), "term")
+    asked = lookup_join(
+        inside.withColumnRenamed("term", "core"), materialize(named, "named"), ["group_id", "core"], ["doc_id"]
+    )
+    asked = asked.select("group_id", "doc_id", "_digest", "term")
+    texts = docs.select("group_id", "doc_id", "text")
+    across = asked.join(texts, ["group_id", "doc_id"]).where(F.contains(F.lower("text"), F.col("term")))
+    marks = other.where("core is null").select("group_id", "term")
+    keyed = docs.select("group_id", "doc_id", _copy_key(merge_copies), "text")
+    bare = lookup_join(keyed, marks, ["group_id"], ["doc_id"]).where(F.contains(F.lower("text"), F.col("term")))
+    columns = ["group_id", "doc_id", "_digest", "term"]
+    every = whole.select(*columns).unionByName(across.select(*columns)).unionByName(bare.select(*columns))
+    return _merge(every.distinct(), merge_copies)
 
 
 def doc_frequency(postings_df: DataFrame) -> DataFrame:
@@ -121,37 +152,40 @@ def doc_frequency(postings_df: DataFrame) -> DataFrame:
     return postings_df.groupBy("group_id", "term").agg(F.count("*").alias("df"))
 
 
-def posting_intersection_size(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Number of documents two posting tables share, per group and pair of terms."""
-    left = first.select("group_id", F.col("term").alias("src"), "doc_id")
-    right = second.select("group_id", F.col("term").alias("dst"), "doc_id")
-    return left.join(right, ["group_id", "doc_id"]).groupBy("group_id", "src", "dst").agg(
-        F.count("*").alias("w")
+def posting_intersection_size(postings_df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Number of documents that the postings of two terms share, for given ``(group_id, src, dst)``.
+
+    Pairs that share none are left out.
+    """
+    asked = materialize(pairs.select("group_id", "src", "dst").distinct(), "asked")
+    left = postings_df.select("group_id", F.col("term").alias("src"), "doc_id")
+    right = postings_df.select("group_id", F.col("term").alias("dst"), "doc_id")
+    wanted = lookup_join(left, asked, ["group_id", "src"], ["doc_id"])
+    return (
+        wanted.join(right, ["group_id", "dst", "doc_id"])
+        .groupBy("group_id", "src", "dst")
+        .agg(F.count("*").alias("w"))
     )
 
 
-def cooccurrence(postings_df: DataFrame, theta: DataFrame | None = None) -> DataFrame:
-    """Edges ``(group_id, src, dst, w)``: number of documents that hold both terms.
+def cooccurrence(postings_df: DataFrame, theta: DataFrame) -> DataFrame:
+    """Edges ``(group_id, src, dst, w)``: pairs of terms that more than theta documents hold.
 
-    With ``theta(group_id, theta)`` only edges with ``w > theta`` are returned.
-    A term in no more than theta documents cannot have such an edge, so it is
-    left out before pairs are built; the result is the same.
+    ``theta`` is ``(group_id, theta)``. A term in no more than theta documents cannot have
+    such an edge, so it is left out before pairs are built; the result is the same.
     """
-    if theta is not None:
-        theta = materialize(theta.select("group_id", "theta"), "theta")
-        frequency = lookup_join(doc_frequency(postings_df), theta, ["group_id"], ["term"])
-        alive = frequency.where(F.col("df") > F.col("theta")).select("group_id", "term")
-    else:
-        alive = postings_df.select("group_id", "term").distinct()
+    theta = materialize(theta.select("group_id", "theta"), "theta")
+    frequency = lookup_join(doc_frequency(postings_df), theta, ["group_id"], ["term"])
+    alive = frequency.where(F.col("df") > F.col("theta")).select("group_id", "term")
 
     # Terms become numbers that keep their order, so pairs are two longs.
     numbered = dense_index(alive, [F.asc("group_id"), F.asc("term")], "tid")
     small = fits_broadcast(numbered)
     coded = keyed_join(postings_df, numbered, ["group_id", "term"], ["doc_id"], small)
 
-    # One row per document; documents with equal terms are merged and counted.
+    # One row per document; an index has merged the copies of a text already.
     per_doc = coded.groupBy("group_id", "doc_id").agg(F.sort_array(F.collect_set("tid")).alias("tids"))
-    merged = per_doc.where(F.size("tids") > 1).groupBy("tids").agg(F.count("*").alias("copies"))
+    merged = per_doc.where(F.size("tids") > 1).select("tids", F.lit(1).cast("long").alias("copies"))
 
     # One row per document and range of first terms. A range is shared by several
     # tasks when there are more tasks than ranges, and the pairs of a document
@@ -185,11 +219,10 @@ def cooccurrence(postings_df: DataFrame, theta: DataFrame | None = None) -> Data
         .groupBy("a", "b")
         .agg(F.sum("copies").alias("w"))
     )
-    if theta is not None:
-        group_of = lookup_join(numbered, theta, ["group_id"], ["tid"]).select(
-            F.col("tid").alias("a"), "theta"
-        )
-        pairs = keyed_join(pairs, group_of, ["a"], ["b"], small).where(F.col("w") > F.col("theta"))
+    group_of = lookup_join(numbered, theta, ["group_id"], ["tid"]).select(
+        F.col("tid").alias("a"), "theta"
+    )
+    pairs = keyed_join(pairs, group_of, ["a"], ["b"], small).where(F.col("w") > F.col("theta"))
     src = numbered.select(F.col("tid").alias("a"), "group_id", F.col("term").alias("src"))
     dst = numbered.select(F.col("tid").alias("b"), F.col("term").alias("dst"))
     edges = keyed_join(keyed_join(pairs, src, ["a"], ["b"], small), dst, ["b"], ["a"], small)

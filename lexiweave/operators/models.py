@@ -6,13 +6,15 @@ keep their id through ``transform``.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LinearSVC, NaiveBayes
+from dataclasses import dataclass
+
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import lookup_join, materialize, scratch_root
+from ..runtime import lookup_join, materialize, scratch_path
 
 # Settings of the standard jobs.
 LDA_TOPICS = 50
@@ -39,7 +41,6 @@ def fit_lda(
     optimizer: str = "em",
 ):
     """Topic model; by default expectation maximisation, run over the cluster."""
-    scratch_root(df.sparkSession)
     return LDA(
         k=k,
         maxIter=max_iter,
@@ -51,9 +52,20 @@ def fit_lda(
     ).fit(df)
 
 
-def fit_naive_bayes(df: DataFrame, smoothing: float = 1.0):
-    """Multinomial Naive Bayes with additive smoothing."""
-    return NaiveBayes(smoothing=smoothing, modelType="multinomial").fit(df)
+def lda_tables(model) -> tuple[DataFrame, DataFrame]:
+    """The weights that a topic model was trained to, as tables: ``(idx, weights)`` of terms, ``(weights)`` of documents.
+
+    The model is saved and its tables are read, so neither goes through the driver. Vertices with a
+    negative number are terms, the others documents; a document without words is no vertex.
+    """
+    spark = SparkSession.active()
+    path = scratch_path(spark, "lda")
+    model.write().save(path)
+    counts = spark.read.parquet(f"{path}/oldModel/data/topicCounts").select(
+        "id", vector_to_array("topicWeights").alias("weights")
+    )
+    terms = counts.where("id < 0").select((-1 - F.col("id")).alias("idx"), "weights")
+    return terms, counts.where("id >= 0").select("weights")
 
 
 def naive_bayes_terms(
@@ -74,23 +86,82 @@ def naive_bayes_terms(
     )
 
 
-def naive_bayes_priors(labels: DataFrame, n_classes: int, n_rows: int, smoothing: float = 1.0) -> DataFrame:
-    """Log prior of each class: ``(label, log_prior)``."""
-    return labels.groupBy("label").agg(
-        (F.log(F.count("*") + smoothing) - F.log(F.lit(n_rows + smoothing * n_classes))).alias("log_prior")
+def naive_bayes_priors(labels: DataFrame, smoothing: float = 1.0) -> DataFrame:
+    """Log prior of each class over all labelled rows: ``(label, log_prior)``."""
+    counts = materialize(labels.groupBy("label").agg(F.count("*").alias("n")), "classes")
+    whole = counts.agg(F.count("*").alias("classes"), F.sum("n").alias("rows")).first()
+    total = (whole["rows"] or 0) + smoothing * whole["classes"]
+    return counts.select("label", (F.log(F.col("n") + smoothing) - F.log(F.lit(float(total)))).alias("log_prior"))
+
+
+@dataclass(frozen=True)
+class NaiveBayesTables:
+    """A multinomial model as tables: ``terms(label, idx, log_prob)`` of the terms seen in a class, and
+    ``classes(label, log_prior, unseen)`` with the log probability of any other term of the vocabulary."""
+
+    terms: DataFrame
+    classes: DataFrame
+
+
+def fit_naive_bayes(
+    long: DataFrame, labels: DataFrame, n_terms: int, smoothing: float = 1.0, id_col: str = "doc_id"
+) -> NaiveBayesTables:
+    """Multinomial Naive Bayes with additive smoothing; rows without known words count in the priors."""
+    terms = materialize(naive_bayes_terms(long, labels, n_terms, smoothing, id_col), "bayes_terms")
+    counts = long.join(labels.select(id_col, "label"), id_col).groupBy("label").agg(F.sum("value").alias("total"))
+    priors = naive_bayes_priors(labels, smoothing)
+    unseen = F.log(F.lit(smoothing)) - F.log(F.coalesce("total", F.lit(0.0)) + smoothing * n_terms)
+    classes = priors.join(counts, "label", "left").select("label", "log_prior", unseen.alias("unseen"))
+    return NaiveBayesTables(terms, materialize(classes, "bayes_classes"))
+
+
+def class_scores(model: NaiveBayesTables, long: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Log score of each class for every id of ``ids``: ``(id, scores)``, an array of (label, score).
+
+    A row without known words is scored by the priors. Only the list of classes is read by the driver;
+    the terms are joined.
+    """
+    classes = model.classes.orderBy("label").collect()
+    each = F.array(*[F.struct(F.lit(c["label"]).alias("label"), F.lit(c["log_prior"]).alias("prior"), F.lit(c["unseen"]).alias("unseen")) for c in classes])
+    sizes = long.groupBy(id_col).agg(F.sum("value").alias("size"))
+    unseen = model.classes.select("label", "unseen")
+    extra = model.terms.join(F.broadcast(unseen), "label").select("label", "idx", (F.col("log_prob") - F.col("unseen")).alias("more"))
+    seen = (
+        lookup_join(long, materialize(extra, "bayes_gain"), ["idx"], [id_col])
+        .groupBy(id_col, "label")
+        .agg(F.sum(F.col("value") * F.col("more")).alias("more"))
+        .groupBy(id_col)
+        .agg(F.map_from_entries(F.collect_list(F.struct("label", "more"))).alias("gain"))
     )
+    rows = ids.select(id_col).distinct().join(sizes, id_col, "left").join(seen, id_col, "left")
+    size = F.coalesce("size", F.lit(0.0))
+    scores = F.transform(
+        each,
+        lambda c: F.struct(
+            c["label"].alias("label"),
+            (c["prior"] + size * c["unseen"] + F.coalesce(F.try_element_at("gain", c["label"]), F.lit(0.0))).alias("score"),
+        ),
+    )
+    return rows.select(id_col, scores.alias("scores"))
 
 
-def class_probabilities(model, df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def class_probabilities(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Probability of each class per row, as rows ``(id, cls, p)``."""
-    return model.transform(df).select(
-        id_col, F.posexplode(vector_to_array("probability")).alias("cls", "p")
+    top = F.array_max(F.transform("scores", lambda c: c["score"]))
+    shares = F.transform("scores", lambda c: F.struct(c["label"].alias("cls"), F.exp(c["score"] - F.col("top")).alias("x")))
+    total = F.aggregate("shares", F.lit(0.0), lambda s, c: s + c["x"])
+    return (
+        scores.withColumn("top", top)
+        .select(id_col, shares.alias("shares"))
+        .select(id_col, total.alias("total"), F.explode("shares").alias("c"))
+        .select(id_col, F.col("c.cls").cast("int").alias("cls"), (F.col("c.x") / F.col("total")).alias("p"))
     )
 
 
-def predict_class(model, df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Most likely class per row."""
-    return model.transform(df).select(id_col, F.col("prediction").cast("int").alias("predicted"))
+def predict_class(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Most likely class per row, the first of equal ones."""
+    best = F.array_max(F.transform("scores", lambda c: F.struct(c["score"].alias("score"), (-c["label"]).alias("neg"))))
+    return scores.select(id_col, (-best["neg"]).cast("int").alias("predicted"))
 
 
 def fit_linear_svm(df: DataFrame, max_iter: int = SVM_ITERATIONS, reg: float = 0.0):
@@ -99,9 +170,9 @@ def fit_linear_svm(df: DataFrame, max_iter: int = SVM_ITERATIONS, reg: float = 0
 
 
 def margin_scores(model, df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Raw margin of class 1 beside the label."""
+    """Raw margin of class 1 beside the label and the features."""
     return model.transform(df).select(
-        id_col, F.element_at(vector_to_array("rawPrediction"), 2).alias("score"), "label"
+        id_col, F.element_at(vector_to_array("rawPrediction"), 2).alias("score"), "label", "features"
     )
 
 

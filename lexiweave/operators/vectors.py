@@ -51,7 +51,8 @@ def count_vectors(tokens: DataFrame, vocabulary: DataFrame, id_col: str = "doc_i
 
 def binary_vectors(tokens: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """1 for each vocabulary term that occurs in the record."""
-    return count_vectors(tokens, vocabulary, id_col).withColumn("value", F.lit(1.0))
+    found = lookup_vocabulary(tokens.select(id_col, "term"), vocabulary, [id_col])
+    return found.select(id_col, "idx").distinct().withColumn("value", F.lit(1.0))
 
 
 def one_hot(df: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -108,25 +109,27 @@ def drop_thin_rows(
     return long.join(thick.select(id_col), id_col, "left_semi")
 
 
-def sparse_vectors(long: DataFrame, size: int, id_col: str = "doc_id", out: str = "features") -> DataFrame:
+def sparse_vectors(
+    long: DataFrame, size: int, id_col: str = "doc_id", out: str = "features", ids: DataFrame | None = None
+) -> DataFrame:
     """One sparse vector per record, without Python and without a driver-side vocabulary.
 
     The parts of a vector are stored as plain columns and read back with the
-    vector type.
+    vector type. With ``ids`` every one of them has a vector, an empty one if the
+    record has no entries.
     """
     entries = F.sort_array(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), "value")))
-    parts = (
-        long.groupBy(id_col)
-        .agg(entries.alias("_e"))
-        .select(
-            id_col,
-            F.struct(
-                F.lit(0).cast("byte").alias("type"),
-                F.lit(int(size)).alias("size"),
-                F.col("_e.idx").alias("indices"),
-                F.col("_e.value").alias("values"),
-            ).alias(out),
-        )
+    gathered = long.groupBy(id_col).agg(entries.alias("_e"))
+    if ids is not None:
+        gathered = ids.select(id_col).distinct().join(gathered, id_col, "left")
+    parts = gathered.select(
+        id_col,
+        F.struct(
+            F.lit(0).cast("byte").alias("type"),
+            F.lit(int(size)).alias("size"),
+            F.coalesce("_e.idx", F.array().cast("array<int>")).alias("indices"),
+            F.coalesce("_e.value", F.array().cast("array<double>")).alias("values"),
+        ).alias(out),
     )
     schema = T.StructType([long.schema[id_col], T.StructField(out, VectorUDT())])
     return materialize(parts, "vectors", schema)

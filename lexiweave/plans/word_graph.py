@@ -18,7 +18,7 @@ from ..operators.graph import (
 from ..operators.index import cooccurrence, doc_frequency, postings
 from ..operators.terms import adaptive_frequent_terms, doc_count, term_counts
 from ..operators.tokens import keep_classes
-from ..runtime import lookup_join, materialize
+from ..runtime import materialize
 
 # Word classes kept for the index.
 INDEX_CLASSES = ("noun", "verb")
@@ -39,19 +39,14 @@ def build_index(docs: DataFrame, lexicon: DataFrame | None = None, match: str =
     return postings(docs, vocabulary, match)
 
 
-def word_graph(index: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+def word_graph(index: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges of the word communities of each group."""
     index = materialize(index, "postings")
     theta = materialize(group_theta(index), "theta")
     edges = materialize(cooccurrence(index, theta), "edges")
     terms = index.select("group_id", "term").distinct()
-    first = materialize(communities(terms, edges, **options), "first")
-    refined = materialize(refine_large(edges, first, theta, **options), "refined")
+    first = materialize(communities(terms, edges), "first")
+    refined = materialize(refine_large(edges, first, theta), "refined")
     kept = filter_communities(refined, first)
     nodes = materialize(community_nodes(kept, doc_frequency(index)), "nodes")
-    # Weights between kept nodes count at any strength, so they come from the
-    # postings of these nodes alone.
-    kept_postings = lookup_join(
-        index, nodes.select("group_id", "term"), ["group_id", "term"], ["doc_id"], "left_semi"
-    )
-    return nodes, community_edges(nodes, cooccurrence(kept_postings))
+    return nodes, community_edges(nodes, edges)

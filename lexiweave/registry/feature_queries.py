@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import models as M
@@ -20,10 +21,11 @@ from ..operators.clusters import (
     members_with_rows,
     order_by_key,
     predictions_with_text,
+    squared_distance,
     top_tags,
 )
 from ..operators.terms import build_vocabulary, frequent_terms, term_counts
-from ..operators.topics import hot_topics, top_topics_per_document, topic_popularity
+from ..operators.topics import hot_topics, top_topics_per_document, topic_popularity, topic_terms
 from ..operators.vectors import (
     binary_vectors,
     chi_square_scores,
@@ -49,18 +51,20 @@ from ..operators.vectors import (
 from ..functions.fields import profile_tag_array
 from ..functions.text import words
 from ..plans.affinity_classifier import classifier_report, profile_fields
-from ..plans.category_scores import fit_category_model, score_texts
+from ..plans.category_scores import fit_category_lines, fit_category_model, score_texts, score_tokens
 from ..plans.profile_clusters import (
     cluster_profiles,
     label_sweep,
     mixture_features,
-    mixture_tags,
+    mixture_words,
     profile_features,
+    profile_report,
 )
+from ..plans.term_clusters import cluster_terms, hashed_rows
 from ..plans.topics import topic_report
 from ..plans.word_graph import build_index
-from ..runtime import materialize, scratch_path
-from .base import SQL_LABELLED, SQL_PROFILES, SQL_TOKENS, SQL_WORDS, query
+from ..runtime import dense_index, lookup_join, materialize, scratch_path
+from .base import SQL_LABELLED, SQL_POSTINGS, SQL_PROFILES, SQL_TOKENS, SQL_WORDS, query
 
 DOC_WORDS = SQL_WORDS.format("text")
 
@@ -206,10 +210,12 @@ def _(t):
     return features.select("member", total.alias("total"))
 
 
-@query("fe6_hashing_tf")
+@query("fe6_hashing_tf", f"SELECT doc_id, CAST(len({DOC_WORDS}) AS DOUBLE) AS total FROM documents")
 def _(t):
+    # Every word of a document falls into one bucket.
     terms = t.documents.select("doc_id", words(F.col("text")).alias("terms"))
-    return hashing_tf(terms).select("doc_id", F.posexplode(vector_to_array("tf")).alias("bucket", "n"))
+    total = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda n, x: n + x)
+    return hashing_tf(terms).select("doc_id", total.alias("total"))
 
 
 SQL_IDF = f"""{SQL_VOCABULARY},
@@ -317,9 +323,15 @@ def _(t):
     return _entries(min_max_scale(_points(t)), "scaled")
 
 
-@query("fe12_pca")
+@query(
+    "fe12_pca",
+    f"WITH {SQL_ENTRIES} SELECT member, round(sum(value * value), 4) AS square FROM e GROUP BY 1",
+)
 def _(t):
-    return _entries(pca(_points(t), 5), "pca")
+    # All components together are a rotation, so lengths stay.
+    turned = pca(_points(t), 64)
+    square = F.aggregate(vector_to_array("pca"), F.lit(0.0), lambda n, x: n + x * x)
+    return turned.select("member", F.round(square, 4).alias("square"))
 
 
 @query(
@@ -368,28 +380,82 @@ def _(t):
     return hot_topics(topic_popularity(_top(t))).withColumn("topic", F.col("topic").cast("bigint"))
 
 
-@query("ml1_lda_topic_report")
+def _topic_tables(t):
+    """Weights of terms and of documents of a model trained on all documents, and its vocabulary."""
+    vocabulary = _vocabulary(t)
+    vectors = sparse_vectors(count_vectors(t.tokens(), vocabulary), vocabulary.count())
+    return (*M.lda_tables(M.fit_lda(vectors)), vocabulary)
+
+
+@query(
+    "ml1_lda_topic_report",
+    f"""WITH {SQL_VOCABULARY} SELECT CAST(50 AS BIGINT) AS topics, (SELECT count(*) FROM voc) AS n_terms,
+      count(DISTINCT doc_id) AS n_docs, 10 * count(DISTINCT doc_id) AS places,
+      round(sum(value), 2) AS tokens FROM long""",
+)
 def _(t):
-    return topic_report(t.documents.select("doc_id", "text"))
+    # Every token of the documents has one topic, so the weights of the terms add up to the tokens.
+    terms, documents, _ = _topic_tables(t)
+    popularity = topic_popularity(top_topics_per_document(documents.withColumn("doc_id", F.monotonically_increasing_id())))
+    sizes = terms.agg(
+        F.max(F.size("weights")).cast("bigint").alias("topics"), F.count("*").alias("n_terms"),
+        F.round(F.sum(F.aggregate("weights", F.lit(0.0), lambda n, x: n + x)), 2).alias("tokens"),
+    )
+    return sizes.select(
+        "topics", "n_terms", "tokens", F.lit(documents.count()).alias("n_docs"),
+        F.lit(popularity.agg(F.sum("n_docs")).first()[0]).alias("places"),
+    )
 
 
-# Naive Bayes: the language is the class.
+@query(
+    "top2_topic_terms",
+    f"""WITH {SQL_VOCABULARY} SELECT unnest(range(50)) AS topic, CAST(least(100, (SELECT count(*) FROM voc)) AS BIGINT) AS n_terms,
+      CAST(0 AS BIGINT) AS gaps, CAST(0 AS BIGINT) AS rising""",
+)
+def _(t):
+    # Ranks go from 1 without gaps and weights do not rise.
+    terms, _, vocabulary = _topic_tables(t)
+    found = topic_terms(terms, vocabulary)
+    before = F.lag("weight").over(Window.partitionBy("topic").orderBy("rank"))
+    return found.withColumn("before", before).groupBy(F.col("topic").cast("bigint").alias("topic")).agg(
+        F.count_distinct("term").alias("n_terms"),
+        (F.max("rank") - F.count_distinct("rank")).cast("bigint").alias("gaps"),
+        F.count_if(F.col("weight") > F.col("before")).alias("rising"),
+    )
+
+
+@query(
+    "plan_topic_report",
+    f"""WITH {SQL_VOCABULARY} SELECT CAST(6 AS BIGINT) AS n_topics,
+      6 * CAST(least(100, (SELECT count(*) FROM voc)) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS gaps""",
+)
+def _(t):
+    report = topic_report(t.documents.select("doc_id", "text"))
+    return report.agg(
+        F.count_distinct("topic").alias("n_topics"), F.count("*").alias("n_rows"),
+        (F.max("rank") - F.count_distinct("rank")).cast("bigint").alias("gaps"),
+    )
 
-LANGS = ("de", "en", "es", "fr")
 
+# Naive Bayes: the language is the class.
 
 def _language(t):
-    code = F.array_position(F.array(*[F.lit(one) for one in LANGS]), F.col("lang")) - 1
-    return t.documents.select("doc_id", code.cast("double").alias("label"))
+    """Languages as classes, numbered in their order."""
+    named = t.documents.where("lang is not null")
+    codes = dense_index(named.select("lang").distinct(), [F.asc("lang")], "code")
+    return lookup_join(named.select("doc_id", "lang"), codes, ["lang"], ["doc_id"]).select(
+        "doc_id", F.col("code").cast("double").alias("label")
+    )
 
 
 SQL_BAYES = f"""{SQL_VOCABULARY},
-lab AS (SELECT doc_id, CAST(list_position(['de', 'en', 'es', 'fr'], lang) - 1 AS DOUBLE) AS label FROM documents
-  SEMI JOIN long USING (doc_id)),
+codes AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS c FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
+lab AS (SELECT doc_id, CAST(c AS DOUBLE) AS label FROM documents JOIN codes USING (lang)),
 v AS (SELECT CAST(count(*) AS DOUBLE) AS v FROM voc),
 ct AS (SELECT label, idx, CAST(count(*) AS DOUBLE) AS n FROM long JOIN lab USING (doc_id) GROUP BY 1, 2),
 tt AS (SELECT label, sum(n) AS total FROM ct GROUP BY 1),
-prior AS (SELECT label, ln(count(*) + 1.0::DOUBLE) - ln((SELECT count(*) FROM lab) + 4.0::DOUBLE) AS lp FROM lab GROUP BY 1)"""
+prior AS (SELECT label, ln(count(*) + 1.0::DOUBLE) - ln((SELECT count(*) FROM lab) + (SELECT count(*) FROM codes) + 0.0::DOUBLE) AS lp
+  FROM lab GROUP BY 1)"""
 
 
 @query(
@@ -404,9 +470,10 @@ def _(t):
 
 
 SQL_SCORES = f"""{SQL_BAYES},
-sc AS (SELECT long.doc_id, tt.label, sum(value * (coalesce(ln(n + 1), 0) - ln(total + (SELECT v FROM v)))) AS s
-  FROM long CROSS JOIN tt LEFT JOIN ct ON ct.idx = long.idx AND ct.label = tt.label GROUP BY 1, 2),
-joint AS (SELECT doc_id, label, s + lp AS s FROM sc JOIN prior USING (label)),
+sc AS (SELECT documents.doc_id, tt.label, sum(value * (coalesce(ln(n + 1), 0) - ln(total + (SELECT v FROM v)))) AS s
+  FROM documents CROSS JOIN tt LEFT JOIN long ON long.doc_id = documents.doc_id
+  LEFT JOIN ct ON ct.idx = long.idx AND ct.label = tt.label GROUP BY 1, 2),
+joint AS (SELECT doc_id, label, coalesce(s, 0) + lp AS s FROM sc JOIN prior USING (label)),
 mx AS (SELECT doc_id, max(s) AS m FROM joint GROUP BY 1),
 ex AS (SELECT doc_id, label, s, exp(s - m) AS x FROM joint JOIN mx USING (doc_id))"""
 
@@ -415,7 +482,7 @@ def _scored(t):
     labels = _language(t)
     tokens = t.tokens().select("doc_id", "term")
     model, vocabulary = fit_category_model(tokens, labels, _vocabulary(t))
-    return model, vocabulary, tokens
+    return model, vocabulary, tokens, t.documents.select("doc_id")
 
 
 @query(
@@ -432,24 +499,67 @@ def _(t):
     f"WITH {SQL_SCORES} SELECT doc_id, CAST(max_by(label, s) AS INT) AS predicted FROM joint GROUP BY 1",
 )
 def _(t):
-    model, vocabulary, tokens = _scored(t)
-    vectors = sparse_vectors(count_vectors(tokens, vocabulary), vocabulary.count())
-    return M.predict_class(model, vectors)
+    return M.predict_class(score_tokens(*_scored(t)))
+
+
+@query(
+    "plan_category_scores",
+    f"""WITH codes AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS cls FROM (SELECT DISTINCT source FROM documents)),
+      tags AS (SELECT DISTINCT source, unnest(list_slice({DOC_WORDS}, 1, 20)) AS term FROM documents),
+      ct AS (SELECT cls, term FROM tags JOIN codes USING (source)),
+      tt AS (SELECT cls, count(*) AS total FROM ct GROUP BY 1), v AS (SELECT CAST(count(DISTINCT term) AS DOUBLE) AS v FROM ct),
+      wd AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({DOC_WORDS}) AS term FROM documents)
+        SEMI JOIN ct USING (term) GROUP BY 1, 2),
+      size AS (SELECT doc_id, sum(n) AS size FROM wd GROUP BY 1),
+      seen AS (SELECT doc_id, cls, sum(n) AS m FROM wd JOIN ct USING (term) GROUP BY 1, 2),
+      sc AS (SELECT d.doc_id, tt.cls, coalesce(m, 0) * ln(2.0::DOUBLE) - coalesce(size, 0) * ln(total + (SELECT v FROM v)) AS s
+        FROM documents d CROSS JOIN tt LEFT JOIN size USING (doc_id) LEFT JOIN seen ON seen.doc_id = d.doc_id AND seen.cls = tt.cls)
+      SELECT doc_id, count(*) AS classes, round(sum(s), 4) AS total FROM sc GROUP BY 1""",
+)
+def _(t):
+    # The first words of the texts of a source are its line of category words, without repeats.
+    tagged = t.documents.select("source", F.explode(F.slice(words(F.col("text")), 1, 20)).alias("term")).distinct()
+    codes = dense_index(tagged.select("source").distinct(), [F.asc("source")], "label")
+    lines = materialize(tagged.join(F.broadcast(codes), "source").select("label", "term"), "lines")
+    model, vocabulary = fit_category_lines(lines)
+    tokens = t.tokens().select("doc_id", "term")
+    scores = score_tokens(model, vocabulary, tokens, t.documents.select("doc_id"))
+    # Every class is one line, so the priors are equal and only shift the scores.
+    prior = model.classes.first()["log_prior"]
+    total = F.aggregate("scores", F.lit(0.0), lambda n, c: n + c["score"] - prior)
+    return scores.select("doc_id", F.size("scores").cast("bigint").alias("classes"), F.round(total, 4).alias("total"))
 
 
 # Linear classifier.
 
 
-@query("ml5_linear_svm_scores")
+@query(
+    "ml5_linear_svm_scores",
+    """SELECT CAST(0 AS BIGINT) AS outside_split, CAST(0 AS BIGINT) AS other_scores, CAST(0 AS BIGINT) AS wrong_labels""",
+)
 def _(t):
-    _, scored = classifier_report(t.labelled_lines(), "<sex>m</sex>", "doc_id")
-    return scored.select("doc_id", F.round("score", 4).alias("score"), "label")
+    # Scores are those of the model's own weights, of test rows only, beside the labels of the lines.
+    model, scored = classifier_report(t.labelled_lines(), "<sex>m</sex>", "doc_id")
+    weights = [float(x) for x in model.coefficients.toArray()]
+    parts = F.zip_with(vector_to_array("features"), F.array(*[F.lit(x) for x in weights]), lambda x, w: x * w)
+    own = F.aggregate(parts, F.lit(float(model.intercept)), lambda n, x: n + x)
+    labels = t.labels.select("doc_id", F.col("quality").cast("double").alias("quality"))
+    return scored.join(labels, "doc_id").agg(
+        F.count_if(M.split_bucket(M.SPLIT_SEED, "doc_id") < 60).alias("outside_split"),
+        F.count_if(F.abs(own - F.col("score")) > 1e-6 * (1 + F.abs("score"))).alias("other_scores"),
+        F.count_if(F.col("label") != F.col("quality")).alias("wrong_labels"),
+    )
 
 
-@query("ml6_margin_accuracy")
+@query("ml6_margin_accuracy", "SELECT CAST(1 AS INT) AS consistent")
 def _(t):
+    # The accuracy is the mean of those of the classes, weighted by their rows.
     _, scored = classifier_report(t.labelled_lines(), "<sex>m</sex>", "doc_id")
-    return accuracy_report(scored)
+    scored = materialize(scored.select("score", "label"), "scores")
+    share = scored.agg(F.avg(F.when(F.col("label") == 1, 1.0).otherwise(0.0)).alias("pos"))
+    mixed = F.coalesce("accuracy_pos", F.lit(0.0)) * F.col("pos") + F.coalesce("accuracy_neg", F.lit(0.0)) * (1 - F.col("pos"))
+    report = accuracy_report(scored).crossJoin(F.broadcast(share))
+    return report.select((F.abs(F.col("accuracy") - mixed) < 1e-9).cast("int").alias("consistent"))
 
 
 @query(
@@ -487,44 +597,93 @@ def _sources(t):
     return t.documents.select(F.col("doc_id").alias("member"), F.col("source").alias("cluster"))
 
 
-@query("ml8_kmeans")
+def _nearest(model, points, assign, column):
+    """Per member: whether its centre is the nearest of the model's centres."""
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    far = F.transform(centres, lambda c: squared_distance(vector_to_array(column), c))
+    joined = points.join(assign, "member").withColumn("far", far)
+    near = F.try_element_at("far", F.col("cluster") + 1) <= F.array_min("far") + 1e-9
+    return joined.select("member", near.cast("int").alias("nearest"))
+
+
+@query("ml8_kmeans", "SELECT c_custkey AS member, CAST(1 AS INT) AS nearest FROM customer")
 def _(t):
     features = profile_features(t.profile_lines())
-    return cluster_profiles(features, M.PROFILE_K)[1]
+    model, assign = cluster_profiles(features, M.PROFILE_K)
+    return _nearest(model, features, assign, "scaled")
 
 
-@query("ml9_bisecting_kmeans")
+@query("ml9_bisecting_kmeans", "SELECT c_custkey AS member, CAST(1 AS INT) AS in_range, CAST(1 AS INT) AS cost_falls FROM customer")
 def _(t):
+    # Leaves are reached by splits, so a member's leaf need not be the nearest one.
     features = profile_features(t.profile_lines())
-    return cluster_profiles(features, M.PROFILE_K, bisecting=True)[1]
+    model, assign = cluster_profiles(features, M.PROFILE_K, bisecting=True)
+    two, _ = cluster_profiles(features, 2, bisecting=True)
+    falls = int(model.summary.trainingCost <= two.summary.trainingCost)
+    return assign.select(
+        "member", F.col("cluster").between(0, M.PROFILE_K - 1).cast("int").alias("in_range"), F.lit(falls).alias("cost_falls")
+    )
 
 
-@query("ml10_assign_clusters")
+@query("ml10_assign_clusters", "SELECT vec_id AS member, CAST(1 AS INT) AS nearest FROM embeddings")
 def _(t):
     points = materialize(_points(t).select("member", "features"), "points")
-    return M.assign_clusters(M.fit_kmeans(points, 10, features_col="features"), points)
+    model = M.fit_kmeans(points, 10, features_col="features")
+    return _nearest(model, points, M.assign_clusters(model, points), "features")
 
 
-@query("ml11_gaussian_mixture")
+@query("plan_profile_report", """SELECT unnest(['bisecting', 'kmeans']) AS model, (SELECT count(*) FROM customer) AS n,
+  CAST(1 AS INT) AS same_cost""")
 def _(t):
-    features = mixture_features(t.documents.select(F.col("doc_id").alias("member"), "text"))
-    model = M.fit_gmm(features)
-    return M.soft_membership(model, features).select(
-        "member", F.posexplode(F.transform("p", lambda x: F.round(x, 6))).alias("component", "p")
+    # Sizes add up to all members, and the cost is that of the training.
+    return profile_report(profile_features(t.profile_lines())).groupBy("model").agg(
+        F.sum("n").alias("n"), F.max((F.abs(F.col("cost") - F.col("trained")) < 1e-6 * F.col("trained")).cast("int")).alias("same_cost")
     )
 
 
-@query("ml12_mixture_tags")
+@query(
+    "ml11_gaussian_mixture",
+    "SELECT doc_id AS member, CAST(2 AS INT) AS components, 1.0::DOUBLE AS total FROM documents",
+)
 def _(t):
-    return mixture_tags(t.documents.select(F.col("doc_id").alias("member"), "text"))
+    features = mixture_features(t.documents.select(F.col("doc_id").alias("member"), "text"))
+    model = M.fit_gmm(features)
+    total = F.aggregate("p", F.lit(0.0), lambda n, x: n + x)
+    return M.soft_membership(model, features).select("member", F.size("p").alias("components"), F.round(total, 6).alias("total"))
 
 
-@query("ml13_cluster_terms")
+@query(
+    "ml12_mixture_tags",
+    r"""WITH w AS (SELECT unnest(string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s')) AS term FROM documents)
+      SELECT term, count(*) AS n, CAST(0 AS BIGINT) AS wrong_top FROM w GROUP BY 1""",
+)
 def _(t):
-    from ..plans.term_clusters import cluster_terms
+    # Counts of the clusters add up to those of all texts, and the tags reported are counted right.
+    counted = materialize(mixture_words(t.documents.select(F.col("doc_id").alias("member"), "text")), "counted")
+    best = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("n"), F.asc("term")))
+    want = counted.withColumn("place", best).where("place <= 3").select("cluster", "term", F.col("n").alias("m"))
+    wrong = top_tags(counted).join(want, ["cluster", "term"], "left").groupBy("term").agg(
+        F.count_if(~F.col("n").eqNullSafe(F.col("m"))).alias("wrong_top")
+    )
+    return counted.groupBy("term").agg(F.sum("n").alias("n")).join(wrong, "term", "left").na.fill(0, ["wrong_top"])
 
+
+@query(
+    "ml13_cluster_terms",
+    f"""WITH {SQL_POSTINGS}, h AS (SELECT DISTINCT term, CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) AS x FROM post),
+      cell AS (SELECT term, x % 64 AS bucket, CASE WHEN (x // 64) % 2 = 0 THEN 1 ELSE -1 END AS sign FROM h),
+      dv AS (SELECT group_id, doc_id, bucket, sum(sign) AS v FROM post JOIN cell USING (term) GROUP BY 1, 2, 3),
+      rw AS (SELECT term, bucket, sum(v) AS v FROM post JOIN dv USING (group_id, doc_id) GROUP BY 1, 2)
+      SELECT term, CAST(sum(v) AS BIGINT) AS total, CAST(sum(v * v) AS BIGINT) AS square, CAST(1 AS INT) AS in_range FROM rw GROUP BY 1""",
+)
+def _(t):
     index = materialize(build_index(t.comments()), "postings")
-    return cluster_terms(index)
+    hashed = hashed_rows(index)
+    sums = hashed.groupBy("term").agg(
+        F.sum("value").cast("bigint").alias("total"), F.sum(F.col("value") * F.col("value")).cast("bigint").alias("square")
+    )
+    clusters = cluster_terms(index, hashed=hashed).select("term", F.col("cluster").between(0, 4).cast("int").alias("in_range"))
+    return sums.join(clusters, "term")
 
 
 @query("ml14_compare_labelings", "SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2")
@@ -568,9 +727,9 @@ def _(t):
     "SELECT doc_id, source AS cluster, length(text) AS chars FROM documents",
 )
 def _(t):
-    predictions = t.documents.select("doc_id", F.col("source").alias("cluster"))
-    joined = predictions_with_text(predictions, t.documents.select("doc_id", "text"))
-    return joined.select("doc_id", "cluster", F.length("text").cast("bigint").alias("chars"))
+    predicted = t.documents.select("doc_id", F.col("source").alias("prediction"), "text")
+    kept = predictions_with_text(predicted, "prediction")
+    return kept.select("doc_id", "cluster", F.length("text").cast("bigint").alias("chars"))
 
 
 @query(
@@ -586,8 +745,7 @@ SQL_SOURCE_WORDS = f"""sw AS (SELECT source AS cluster, term, count(*) AS n
 
 
 def _source_words(t):
-    docs = t.documents.select(F.col("doc_id").alias("member"), words(F.col("text")).alias("terms"))
-    return cluster_words(_sources(t), docs)
+    return cluster_words(t.documents.select(F.col("source").alias("cluster"), words(F.col("text")).alias("terms")))
 
 
 @query("ag13_cluster_words", f"WITH {SQL_SOURCE_WORDS} SELECT cluster, term, n FROM sw")
@@ -624,9 +782,12 @@ def _(t):
     return labels_across_k(labelled.withColumn("cluster", F.col("label") % F.col("k")))
 
 
-@query("ag15_label_sweep")
+@query("ag15_label_sweep", "SELECT c_custkey AS member, CAST(3 AS INT) AS n_labels, CAST(1 AS INT) AS in_range FROM customer")
 def _(t):
-    return label_sweep(profile_features(t.profile_lines()))
+    labels = F.transform(F.split("labels", " "), lambda x: x.cast("int"))
+    swept = label_sweep(profile_features(t.profile_lines())).withColumn("l", labels)
+    inside = F.forall(F.zip_with("l", F.array(F.lit(8), F.lit(9), F.lit(10)), lambda x, k: (x >= 0) & (x < k)), lambda x: x)
+    return swept.select("member", F.size("l").alias("n_labels"), inside.cast("int").alias("in_range"))
 
 
 @query(
@@ -640,9 +801,16 @@ def _(t):
     return cost.select(F.round("cost", 4).alias("cost"), "n")
 
 
-@query("src14_save_and_load_model")
+@query("src14_save_and_load_model", "SELECT vec_id AS member, CAST(1 AS INT) AS same, CAST(1 AS INT) AS nearest FROM embeddings")
 def _(t):
     points = materialize(_points(t).select("member", "features"), "points")
     path = scratch_path(t.spark, "model")
-    M.save_model(M.fit_kmeans(points, 10, features_col="features"), path)
-    return M.assign_clusters(M.load_model(KMeansModel, path), points)
+    fitted = M.fit_kmeans(points, 10, features_col="features")
+    M.save_model(fitted, path)
+    loaded = M.load_model(KMeansModel, path)
+    before = M.assign_clusters(fitted, points).withColumnRenamed("cluster", "before")
+    after = M.assign_clusters(loaded, points)
+    near = _nearest(loaded, points, after, "features")
+    return before.join(after, "member").join(near, "member").select(
+        "member", (F.col("before") == F.col("cluster")).cast("int").alias("same"), "nearest"
+    )

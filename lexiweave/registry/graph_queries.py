@@ -23,7 +23,8 @@ from ..operators.index import (
     postings,
 )
 from ..plans.word_graph import build_index, index_vocabulary, word_graph
-from ..runtime import materialize
+from ..functions.thresholds import REFINE_ABOVE_SIZE
+from ..runtime import dense_index, materialize
 from .base import SQL_EDGES, SQL_GRAPH_THETA, SQL_INDEX_VOCABULARY, SQL_POSTINGS, query
 
 
@@ -71,22 +72,32 @@ def _(t):
     return doc_frequency(build_index(t.comments()))
 
 
-@query("jn3_cooccurrence", f"WITH {SQL_EDGES} SELECT group_id, src, dst, w FROM pairs")
+@query("jn3_cooccurrence", f"WITH {SQL_EDGES} SELECT group_id, src, dst, w FROM pairs WHERE w > 20")
 def _(t):
-    return cooccurrence(_index(t))
+    index = _index(t)
+    theta = index.select("group_id").distinct().withColumn("theta", F.lit(20.0))
+    return cooccurrence(index, theta)
 
 
 @query(
     "set1_posting_intersection_size",
-    f"""WITH {SQL_POSTINGS} SELECT a.group_id, a.term AS src, b.term AS dst, count(*) AS w
-      FROM post a JOIN post b ON a.group_id = b.group_id AND a.doc_id = b.doc_id
-      WHERE length(a.term) = 2 AND length(b.term) = 3 GROUP BY 1, 2, 3""",
+    f"""WITH {SQL_POSTINGS},
+      f AS (SELECT group_id, term, count(*) AS df FROM post GROUP BY 1, 2),
+      r AS (SELECT group_id, term, row_number() OVER (PARTITION BY group_id ORDER BY df DESC, term) AS k FROM f),
+      asked AS (SELECT x.group_id, x.term AS src, y.term AS dst
+        FROM r x JOIN r y ON x.group_id = y.group_id AND y.k = x.k + 1)
+      SELECT asked.group_id, src, dst, count(*) AS w FROM asked
+      JOIN post a ON a.group_id = asked.group_id AND a.term = src
+      JOIN post b ON b.group_id = asked.group_id AND b.term = dst AND a.doc_id = b.doc_id GROUP BY 1, 2, 3""",
 )
 def _(t):
+    # Every term with the next one in the order of document frequency.
     index = _index(t)
-    return posting_intersection_size(
-        index.where(F.length("term") == 2), index.where(F.length("term") == 3)
-    )
+    order = [F.asc("group_id"), F.desc("df"), F.asc("term")]
+    ranked = materialize(dense_index(doc_frequency(index), order, "k", within=["group_id"]), "ranked")
+    after = ranked.select("group_id", (F.col("k") - 1).alias("k"), F.col("term").alias("dst"))
+    pairs = ranked.select("group_id", "k", F.col("term").alias("src")).join(after, ["group_id", "k"])
+    return posting_intersection_size(index, pairs)
 
 
 @query("gr1_graph_theta", f"WITH {SQL_GRAPH_THETA} SELECT group_id, theta FROM gtheta")
@@ -94,10 +105,15 @@ def _(t):
     return group_theta(_index(t)).select("group_id", "theta")
 
 
-@query("gr2_threshold_edges", f"WITH {SQL_EDGES} SELECT group_id, src, dst, w FROM edges")
+@query(
+    "gr2_threshold_edges",
+    f"""WITH {SQL_EDGES} SELECT group_id, src, dst, w FROM edges JOIN gtheta USING (group_id)
+      WHERE w > 1.5::DOUBLE * theta""",
+)
 def _(t):
-    index = _index(t)
-    return threshold_edges(cooccurrence(index), group_theta(index))
+    # The stricter threshold that large communities are refined with.
+    index, edges = _edges(t)
+    return threshold_edges(edges, group_theta(index), 1.5)
 
 
 @query("gr2_cooccurrence_above_theta", f"WITH {SQL_EDGES} SELECT group_id, src, dst, w FROM edges")
@@ -105,7 +121,7 @@ def _(t):
     return _edges(t)[1]
 
 
-# Raw pairs with loops and both directions: customers' nations against suppliers' nations.
+# Raw pairs with loops and both directions: market segments of customers against types of parts.
 RAW_PAIRS = """raw AS (
   SELECT o_orderpriority AS group_id, c_mktsegment AS src, p_type AS dst, 1 AS w
   FROM orders JOIN customer ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey
@@ -210,42 +226,109 @@ def _(t):
 
 @query(
     "gr9_community_edges",
-    f"""WITH {SQL_NODES} SELECT group_id, src, dst, w FROM pairs
+    f"""WITH {SQL_NODES} SELECT group_id, src, dst, w FROM edges
       SEMI JOIN (SELECT group_id, term AS src FROM nodes) a USING (group_id, src)
       SEMI JOIN (SELECT group_id, term AS dst FROM nodes) b USING (group_id, dst)""",
 )
 def _(t):
-    index = _index(t)
-    return community_edges(_kept(index), cooccurrence(index))
+    index, edges = _edges(t)
+    return community_edges(_kept(index), edges)
 
 
 @query(
     "jn6_edges_of_nodes",
-    f"""WITH {SQL_EDGES}, nd AS (SELECT DISTINCT group_id, term FROM post WHERE length(term) <= 5)
-      SELECT group_id, src, dst, w FROM edges
-      SEMI JOIN (SELECT group_id, term AS src FROM nd) a USING (group_id, src)
-      SEMI JOIN (SELECT group_id, term AS dst FROM nd) b USING (group_id, dst)""",
+    f"""WITH {SQL_NODES} SELECT group_id, src, dst, w FROM edges
+      SEMI JOIN (SELECT group_id, term AS src FROM nodes) a USING (group_id, src)
+      SEMI JOIN (SELECT group_id, term AS dst FROM nodes) b USING (group_id, dst)""",
 )
 def _(t):
     index, edges = _edges(t)
-    return edges_of_nodes(index.where(F.length("term") <= 5), edges)
+    return edges_of_nodes(_kept(index).select("group_id", "term"), edges).select("group_id", "src", "dst", "w")
+
+
+def _merge_gains(edges, found):
+    """Pairs of communities of a group whose union would have a higher modularity."""
+    edges, found = materialize(edges, "edges"), materialize(found, "found")
+    ends = F.explode(F.array("src", "dst")).alias("term")
+    degree = edges.select("group_id", "w", ends).groupBy("group_id", "term").agg(F.sum("w").alias("k"))
+    shares = found.join(degree, ["group_id", "term"]).groupBy("group_id", "community").agg(F.sum("k").alias("tot"))
+    whole = shares.groupBy("group_id").agg(F.sum("tot").alias("m2"))
+    one = found.select("group_id", F.col("term").alias("src"), F.col("community").alias("a"))
+    two = found.select("group_id", F.col("term").alias("dst"), F.col("community").alias("b"))
+    between = (
+        edges.join(one, ["group_id", "src"]).join(two, ["group_id", "dst"]).where("a <> b")
+        .groupBy("group_id", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .agg(F.sum("w").alias("w"))
+    )
+    tot_a = shares.select("group_id", F.col("community").alias("a"), F.col("tot").alias("tot_a"))
+    tot_b = shares.select("group_id", F.col("community").alias("b"), F.col("tot").alias("tot_b"))
+    scored = between.join(tot_a, ["group_id", "a"]).join(tot_b, ["group_id", "b"]).join(whole, "group_id")
+    return scored.where(F.col("w") - F.col("tot_a") * F.col("tot_b") / F.col("m2") > 1e-6)
+
+
+def _community_checks(terms, edges, found):
+    """Per group: its terms, how many are in one community, and what a community search must not leave."""
+    gains = _merge_gains(edges, found).groupBy("group_id").agg(F.count("*").alias("improving_merges"))
+    alone = found.withColumn("community", F.col("term"))
+    low = modularity(edges, found).withColumnRenamed("modularity", "q").join(
+        modularity(edges, alone), "group_id"
+    ).where(F.col("q") < F.col("modularity")).groupBy("group_id").agg(F.count("*").alias("below_single_terms"))
+    once = found.groupBy("group_id", "term").count().where("count = 1").groupBy("group_id").agg(
+        F.count("*").alias("n_once")
+    )
+    sizes = terms.groupBy("group_id").agg(F.count("*").alias("n_terms"))
+    both = sizes.join(once, "group_id", "left").join(gains, "group_id", "left").join(low, "group_id", "left")
+    return both.na.fill(0).select("group_id", "n_terms", "n_once", "improving_merges", "below_single_terms")
+
+
+SQL_COMMUNITY_CHECKS = """SELECT group_id, count(DISTINCT term) AS n_terms, count(DISTINCT term) AS n_once,
+  CAST(0 AS BIGINT) AS improving_merges, CAST(0 AS BIGINT) AS below_single_terms FROM post GROUP BY 1"""
 
 
-@query("gr4_communities")
+@query("gr4_communities", f"WITH {SQL_POSTINGS} {SQL_COMMUNITY_CHECKS}")
 def _(t):
     index, edges = _edges(t)
-    terms = index.select("group_id", "term").distinct()
-    return communities(terms, materialize(edges, "edges"))
+    terms = materialize(index.select("group_id", "term").distinct(), "terms")
+    edges = materialize(edges, "edges")
+    return _community_checks(terms, edges, communities(terms, edges))
 
 
-@query("gr6_refine_large")
+@query(
+    "gr6_refine_large",
+    f"""WITH {SQL_POSTINGS} SELECT group_id, count(DISTINCT term) AS n_terms, count(DISTINCT term) AS n_once,
+      CAST(0 AS BIGINT) AS large_unsplit, CAST(0 AS BIGINT) AS small_split FROM post GROUP BY 1""",
+)
 def _(t):
+    # Every term once, and exactly the terms of communities above the size have a part.
     index, edges = _edges(t)
     edges = materialize(edges, "edges")
-    first = materialize(communities(index.select("group_id", "term").distinct(), edges), "first")
-    return refine_large(edges, first, group_theta(index))
+    terms = materialize(index.select("group_id", "term").distinct(), "terms")
+    first = materialize(communities(terms, edges), "first")
+    refined = materialize(refine_large(edges, first, group_theta(index)), "refined")
+    sizes = first.groupBy("group_id", "community").agg((F.count("*") > REFINE_ABOVE_SIZE).alias("large"))
+    marked = refined.join(sizes, ["group_id", "community"])
+    checks = marked.groupBy("group_id").agg(
+        F.count("*").alias("n_terms"), F.count_distinct("term").alias("n_once"),
+        F.count_if(F.col("large") & F.col("part").isNull()).alias("large_unsplit"),
+        F.count_if(~F.col("large") & F.col("part").isNotNull()).alias("small_split"),
+    )
+    return checks
 
 
-@query("plan_word_graph")
+@query(
+    "plan_word_graph",
+    f"""WITH {SQL_POSTINGS} SELECT group_id, CAST(0 AS BIGINT) AS gaps, CAST(0 AS BIGINT) AS wrong_size,
+      CAST(0 AS BIGINT) AS twice FROM (SELECT DISTINCT group_id FROM post)""",
+)
 def _(t):
-    return word_graph(build_index(t.comments()))[0]
+    # Nodes are numbered without gaps, carry their document frequency and are different terms.
+    index = _index(t)
+    nodes = materialize(word_graph(index)[0], "nodes")
+    frequency = doc_frequency(index)
+    checked = nodes.join(frequency, ["group_id", "term"])
+    per_group = checked.groupBy("group_id").agg(
+        (F.max("node") + 1 - F.count_distinct("node")).alias("gaps"),
+        F.count_if(F.col("size") != F.col("df")).alias("wrong_size"),
+        (F.count("*") - F.count_distinct("term")).alias("twice"),
+    )
+    return index.select("group_id").distinct().join(per_group, "group_id", "left").na.fill(0)

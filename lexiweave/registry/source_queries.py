@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.affinity import class_affinity
 from ..operators.clusters import labels_across_k
-from ..operators.graph import community_nodes
+from ..operators.graph import community_nodes, edges_of_nodes, group_theta
 from ..operators.index import cooccurrence, doc_frequency
 from ..operators.terms import rank_desc
 from ..operators.vectors import dense_vectors
@@ -157,13 +157,13 @@ def _(t):
     "src12_write_graph",
     f"""WITH {SQL_NODES}, num AS (SELECT group_id, term, row_number() OVER (PARTITION BY group_id ORDER BY number, term) - 1 AS node
         FROM nodes)
-      SELECT p.group_id, least(a.node, b.node) AS v1, greatest(a.node, b.node) AS v2, w FROM pairs p
+      SELECT p.group_id, least(a.node, b.node) AS v1, greatest(a.node, b.node) AS v2, w FROM edges p
       JOIN num a ON a.group_id = p.group_id AND a.term = src JOIN num b ON b.group_id = p.group_id AND b.term = dst""",
 )
 def _(t):
     path = scratch_path(t.spark, "graph")
     index = _index(t)
     nodes = materialize(community_nodes(_kept(index), doc_frequency(index)), "nodes")
-    edges = cooccurrence(index.join(nodes.select("group_id", "term"), ["group_id", "term"], "left_semi"))
+    edges = edges_of_nodes(nodes, cooccurrence(index, group_theta(index))).select("group_id", "src", "dst", "w")
     S.write_graph(nodes, edges, path)
     return S.read_graph_edges(t.spark, path)

@@ -355,21 +355,22 @@ def _(t):
 
 @query(
     "set2_union_vocabularies",
-    f"""WITH {SQL_TOKENS}, c AS (SELECT group_id, term, count(*) AS n FROM toks GROUP BY 1, 2 HAVING count(*) >= 20),
-      lists AS (SELECT CASE group_id WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3 END AS list,
+    f"""WITH {SQL_TOKENS}, c AS (SELECT group_id, term, count(*) AS n FROM toks GROUP BY 1, 2),
+      lists AS (SELECT dense_rank() OVER (ORDER BY group_id) AS list,
         row_number() OVER (PARTITION BY group_id ORDER BY n DESC, term) AS pos, term, n / 1000 AS weight FROM c),
       u AS (SELECT term, min((list, pos)) AS f, max_by(weight, (list, pos)) AS weight FROM lists GROUP BY 1)
       SELECT term, row_number() OVER (ORDER BY f) - 1 AS idx, round(weight, 6) AS weight FROM u""",
 )
 def _(t):
-    from ..runtime import dense_index
+    from ..runtime import dense_index, materialize
 
-    counts = term_counts(t.tokens(), ["group_id"]).where(F.col("n") >= 20)
+    counts = term_counts(t.tokens(), ["group_id"])
     order = [F.asc("group_id"), F.desc("n"), F.asc("term")]
-    ranked = dense_index(counts, order, "pos", within=["group_id"])
+    ranked = materialize(dense_index(counts, order, "pos", within=["group_id"]), "ranked")
+    languages = sorted(r["group_id"] for r in ranked.select("group_id").distinct().collect())
     lists = [
         ranked.where(F.col("group_id") == lang).select("term", "pos", (F.col("n") / 1000).alias("weight"))
-        for lang in ("de", "en", "es", "fr")
+        for lang in languages
     ]
     return union_vocabularies(lists).withColumn("weight", F.round("weight", 6))
 

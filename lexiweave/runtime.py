@@ -1,12 +1,12 @@
 """Shared plumbing: stored tables, size-checked joins and distributed numbering.
 
 Every helper keeps the rows on the executors. The only values that reach the
-driver are row counts and byte counts.
+driver are row counts and byte counts. Stored tables are left for the folder's own
+clean-up, since a returned DataFrame may still read them.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -17,23 +17,15 @@ from pyspark.sql import types as T
 # A lookup table is broadcast only if its measured size is below this bound.
 BROADCAST_BYTES = 8 * 1024 * 1024
 
-# Sub-groups of one key in joins and in aggregates whose result goes back to
-# the rows. Cold keys never have more sub-groups than rows, so a high value is free.
-KEY_SALTS = 4096
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for stored intermediate tables, taken from ``spark.checkpoint.dir``."""
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    root = configured or context.getCheckpointDir()
-    if root is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="lexiweave-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return root
+    """Folder for stored intermediate tables that all executors share.
+
+    It is the one in ``spark.checkpoint.dir``, else a folder in the session's warehouse. Nothing is set
+    on the session.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stored"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -50,7 +42,9 @@ def materialize(df: DataFrame, name: str = "table", schema: T.StructType | None
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(schema or df.schema).parquet(path)
+    stored = spark.read.schema(schema or df.schema).parquet(path)
+    stored._is_stored = True
+    return stored
 
 
 def task_count(spark: SparkSession) -> int:
@@ -78,29 +72,6 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (measured or 0) <= max_bytes
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "inner",
-    salts: int = KEY_SALTS,
-) -> DataFrame:
-    """Join many rows per key to few rows per key so that many tasks read a hot key.
-
-    The (key, salt) pairs that occur on the left are reduced before their shuffle
-    and joined to ``right`` first; the rows then meet that table on (key, salt).
-    A hot key is spread over ``salts`` tasks, and ``right`` is never copied more
-    often than the left side has rows.
-    """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(salts)).cast("int")
-    spread = left.withColumn("_salt", salt)
-    pairs = spread.select(*on, "_salt").distinct()
-    if how in ("left_semi", "left_anti"):
-        return spread.join(pairs.join(right, list(on), how), [*on, "_salt"], "left_semi").drop("_salt")
-    return spread.join(pairs.join(right, list(on), how), [*on, "_salt"], how).drop("_salt")
-
-
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -109,12 +80,13 @@ def lookup_join(
     how: str = "inner",
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join rows to a table with one row per key, whatever its size.
+    """Join rows to a table with one row or few rows per key, whatever its size.
 
-    ``right`` is measured first: small tables are broadcast and ``left`` is not
-    shuffled at all; larger ones take the salted join.
+    ``right`` is stored unless it is a stored table already, so that it is worked out once, and then
+    measured: small tables are broadcast and ``left`` is not shuffled at all; larger ones are shuffled.
     """
-    return keyed_join(left, right, on, spread_by, fits_broadcast(right, max_bytes), how)
+    stored = right if getattr(right, "_is_stored", False) else materialize(right, "lookup")
+    return keyed_join(left, stored, on, spread_by, fits_broadcast(stored, max_bytes), how)
 
 
 def keyed_join(
@@ -125,34 +97,30 @@ def keyed_join(
     small: bool,
     how: str = "inner",
 ) -> DataFrame:
-    """:func:`lookup_join` for a table whose size was measured before."""
-    if small:
-        return left.join(F.broadcast(right), list(on), how)
-    return salted_join(left, right, on, spread_by, how)
+    """:func:`lookup_join` for a stored table whose size was measured before.
+
+    The shuffled join reads ``left`` once. As both sides come straight from a shuffle, adaptive execution
+    splits the rows of a hot key among tasks and gives each of them the few rows of the other side.
+    ``spread_by`` names columns that tell the rows of a key apart, for the reader of the call.
+    """
+    return left.join(F.broadcast(right) if small else right, list(on), how)
 
 
 def spread_aggregate(
     df: DataFrame,
     keys: Sequence[str],
-    row_id: Sequence[str],
     value: Column,
     combine,
     out: str,
-    salts: int = KEY_SALTS,
 ) -> DataFrame:
     """Append a per-key aggregate to every row without gathering a key in one task.
 
-    The rows are reduced per (key, salt), then per key; the result is joined
-    back at the (key, salt) level, so one hot key is spread over ``salts`` tasks
-    and the table joined back never has more rows than ``df``.
+    The rows are stored once. Partial aggregates are what is shuffled per key, and the totals are a stored
+    table that is joined back, so adaptive execution can split a hot key.
     """
-    salted = df.withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in row_id]), F.lit(salts)).cast("int")
-    )
-    partial = salted.groupBy(*keys, "_salt").agg(combine(value).alias("_part"))
-    total = partial.groupBy(*keys).agg(combine(F.col("_part")).alias(out))
-    back = partial.drop("_part").join(total, list(keys))
-    return salted.join(back, [*keys, "_salt"]).drop("_salt")
+    stored = materialize(df, "rows")
+    totals = materialize(stored.groupBy(*keys).agg(combine(value).alias(out)), "totals")
+    return stored.join(totals, list(keys))
 
 
 def dense_index(

@@ -149,7 +149,7 @@ def test_cluster_reports(spark):
     assert rows(cluster_members(assign)) == [(0, 0, 1), (0, 1, 3), (1, 0, 2)]
     tags = spark.createDataFrame([(1, ["x", "y"]), (2, ["x"]), (3, ["x", "z"])], "member bigint, tags array<string>")
     assert rows(cluster_tag_counts(assign, tags)) == [(0, "x", 2), (0, "y", 1), (0, "z", 1), (1, "x", 1)]
-    counts = cluster_words(assign, tags.withColumnRenamed("tags", "terms"))
+    counts = cluster_words(assign.join(tags.withColumnRenamed("tags", "terms"), "member"))
     assert rows(top_tags(counts, 2), "cluster", "rank", "term") == [(0, 1, "x"), (0, 2, "y"), (1, 1, "x")]
 
 
@@ -194,8 +194,13 @@ def test_category_lines_give_class_probabilities(spark):
         [(0, 0, "cat"), (0, 1, "dog"), (1, 0, "car"), (1, 1, "bus"), (1, 2, "dog")], "label bigint, pos int, term string"
     )
     model, vocabulary = fit_category_lines(lines)
-    asked = spark.createDataFrame([(7, "cat"), (7, "nothing"), (8, "bus"), (8, "car")], "doc_id bigint, term string")
-    got = {(r.doc_id, r.cls): r.p for r in score_texts(model, vocabulary, asked).collect()}
+    asked = spark.createDataFrame(
+        [(7, "cat"), (7, "nothing"), (8, "bus"), (8, "car"), (9, "nothing")], "doc_id bigint, term string"
+    )
+    ids = spark.createDataFrame([(7,), (8,), (9,), (10,)], "doc_id bigint")
+    got = {(r.doc_id, r.cls): r.p for r in score_texts(model, vocabulary, asked, ids).collect()}
+    # Texts without known words are scored by the priors.
+    assert all(got[(i, c)] == pytest.approx(0.5) for i in (9, 10) for c in (0, 1))
     assert got[(7, 0)] + got[(7, 1)] == pytest.approx(1.0)
     # Priors 1/2 each; cat: (1+1)/(2+4) in class 0 and (0+1)/(3+4) in class 1.
     assert got[(7, 0)] == pytest.approx((2 / 6) / (2 / 6 + 1 / 7))

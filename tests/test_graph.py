@@ -86,7 +86,8 @@ def test_cooccurrence_equals_brute_force(spark, monkeypatch, ranges):
     found = random_postings(ranges)
     df = spark.createDataFrame(found, POSTINGS)
     want = brute(found)
-    assert {tuple(r)[:3]: r.w for r in I.cooccurrence(df).collect()} == want
+    zero = spark.createDataFrame([("g0", 0.0), ("g1", 0.0)], "group_id string, theta double")
+    assert {tuple(r)[:3]: r.w for r in I.cooccurrence(df, zero).collect()} == want
     theta = spark.createDataFrame([("g0", 2.0), ("g1", 20.0)], "group_id string, theta double")
     limits = {"g0": 2, "g1": 20}
     assert {tuple(r)[:3]: r.w for r in I.cooccurrence(df, theta).collect()} == {
@@ -99,7 +100,8 @@ def test_large_tables_take_the_salted_joins(spark, monkeypatch):
     monkeypatch.setattr(I, "fits_broadcast", lambda df: False)
     found = random_postings(5, 20, 12)
     df = spark.createDataFrame(found, POSTINGS)
-    assert {tuple(r)[:3]: r.w for r in I.cooccurrence(df).collect()} == brute(found)
+    zero = spark.createDataFrame([("g0", 0.0), ("g1", 0.0)], "group_id string, theta double")
+    assert {tuple(r)[:3]: r.w for r in I.cooccurrence(df, zero).collect()} == brute(found)
 
 
 def test_thresholds_and_simplify(spark):
@@ -146,10 +148,9 @@ def test_communities_find_planted_groups(spark):
 def test_communities_with_salted_joins_are_the_same(spark, monkeypatch):
     edges = spark.createDataFrame(clique("g", "abc", 4) + clique("g", "xyz", 4) + [("g", "a", "x", 1)], EDGES)
     vertices = spark.createDataFrame([("g", t) for t in "abcxyz"], "group_id string, term string")
-    options = {"max_levels": 1, "max_rounds": 3}
-    want = rows(communities(vertices, edges, **options))
+    want = rows(communities(vertices, edges))
     monkeypatch.setattr("lexiweave.operators.graph.fits_broadcast", lambda df: False)
-    assert rows(communities(vertices, edges, **options)) == want
+    assert rows(communities(vertices, edges)) == want
 
 
 def test_no_edges_leaves_single_terms(spark):

@@ -36,7 +36,7 @@ def test_fits_broadcast_measures_bytes(spark):
 
 
 def test_spread_aggregate(spark, skewed):
-    got = spread_aggregate(skewed, ["key"], ["id"], F.col("id"), F.min, "low", salts=7)
+    got = spread_aggregate(skewed, ["key"], F.col("id"), F.min, "low")
     want = {}
     for r in skewed.collect():
         want[r.key] = min(want.get(r.key, r.id), r.id)
