@@ -9,12 +9,12 @@ category, pieces are then boundaries between classes.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-from lexiweave.llm.batches import scramble, span_hashes
+from lexiweave.llm.batches import scramble, span_hashes, text_slices
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _UNKNOWN = 0, 1, 2, 3, 255
 _classes = np.full(0x110000, _UNKNOWN, np.uint8)
@@ -91,10 +91,34 @@ class PieceTable:
         self._reset()
 
     def _reset(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.count = 0
+        # Hashes in order with the numbers of their rows: all but the latest, and the latest.
+        self.keys = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+        self.places = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
         self.values = np.zeros(1 << 16, self.dtype)
         self.bounds = np.zeros(1 << 12, np.int64)
 
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Row numbers of ordered hashes, -1 for new ones."""
+        found = np.full(len(hashes), -1, np.int64)
+        for keys, places in zip(self.keys, self.places, strict=True):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                found = np.where(keys[at] == hashes, places[at], found)
+        return found
+
+    def _remember(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """Add ordered new hashes to the latest ones, and those to all others when they are many."""
+        for level in (1, 0):
+            keys = np.concatenate([self.keys[level], hashes])
+            order = np.argsort(keys, kind="stable")
+            self.keys[level] = keys[order]
+            self.places[level] = np.concatenate([self.places[level], numbers.astype(np.int32)])[order]
+            if level == 0 or len(keys) < 1 << 16:
+                return
+            hashes, numbers = self.keys[1], self.places[1]
+            self.keys[1], self.places[1] = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
     def look_up(
         self, joined: str, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray | None = None
     ) -> tuple[np.ndarray, np.ndarray]:
@@ -103,10 +127,9 @@ class PieceTable:
             ends = np.append(starts[1:], len(codes))
         symbols = scramble(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
         hashes, first, back = np.unique(span_hashes(symbols, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slots) + len(hashes) > self.max_pieces and self.slots:
+        if self.count + len(hashes) > self.max_pieces and self.count:
             self._reset()
-        known = self.slots
-        slots = np.fromiter((known.get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
+        slots = self._find(hashes)
         new = np.flatnonzero(slots < 0)
         if len(new):
             rows = self.make([joined[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
@@ -115,7 +138,7 @@ class PieceTable:
         return self.bounds[slots], self.bounds[slots + 1] - self.bounds[slots]
 
     def _store(self, hashes: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-        count = len(self.slots)
+        count = self.count
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
         stop = self.bounds[count] + np.cumsum(lengths)
         while len(self.bounds) < count + len(rows) + 1:
@@ -125,7 +148,8 @@ class PieceTable:
         self.values[self.bounds[count] : stop[-1]] = np.concatenate(rows)
         self.bounds[count + 1 : count + 1 + len(rows)] = stop
         numbers = np.arange(count, count + len(rows))
-        self.slots.update(zip(hashes.tolist(), numbers.tolist(), strict=True))
+        self._remember(hashes, numbers)
+        self.count += len(rows)
         return numbers
 
 
@@ -136,14 +160,7 @@ def gather(values: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndar
     return values[np.arange(total) + np.repeat(first - skip, counts)]
 
 
-def text_groups(column: pa.Array, limit: int = 1 << 19) -> list[list[str]]:
-    """Texts of a column in lists of at most ``limit`` characters, or one longer text; null is empty."""
-    groups, size = [[]], 0
-    for text in column.to_pylist():
-        text = text or ""
-        if groups[-1] and size + len(text) > limit:
-            groups.append([])
-            size = 0
-        groups[-1].append(text)
-        size += len(text)
-    return groups
+def text_groups(column: pa.Array, limit: int = 1 << 19) -> Iterator[list[str]]:
+    """Texts of a column in lists of at most ``limit`` bytes, or one longer text; null is empty."""
+    for first, end, _, _ in text_slices(column, limit):
+        yield [x or "" for x in column.slice(first, end - first).to_pylist()]

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -362,11 +363,14 @@ def redact(docs: DataFrame, field: Field, text_col: str = "text", mark: str = "<
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            for k, (_, found) in enumerate(_scan(batch.column(place), field)):
-                if found and texts[k] is not None:
-                    texts[k] = _without(texts[k], found, mark)
-            columns = [pa.array(texts, batch.column(place).type) if c == place else x for c, x in enumerate(batch.columns)]
+            column, changed, texts = batch.column(place), np.zeros(batch.num_rows, bool), []
+            for k, (_, found) in enumerate(_scan(column, field)):
+                if found and column[k].is_valid:
+                    changed[k] = True
+                    texts.append(_without(column[k].as_py(), found, mark))
+            if texts:
+                column = pc.replace_with_mask(column, pa.array(changed), pa.array(texts, column.type))
+            columns = [column if c == place else x for c, x in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.mapInArrow(run, schema)
