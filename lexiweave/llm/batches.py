@@ -190,12 +190,18 @@ def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[lis
         yield [np.concatenate(x) for x in zip(*rest, strict=True)]
 
 
-def one_row_per_id(docs: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` with one row of those that repeat an id; a table without such rows is not moved."""
+def one_row_per_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with one row of those that repeat an id; a table without such rows is not moved.
+
+    Of different texts under one id the one with the smallest hash stays, whenever this is worked out.
+    """
     repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
     repeated = materialize(repeated, "repeated")
     if repeated.isEmpty():
         return docs
     columns = [F.col(f"`{c}`") for c in docs.columns]
     single = docs.join(repeated, id_col, "left_anti").select(*columns)
-    return single.unionByName(docs.join(repeated, id_col, "left_semi").select(*columns).dropDuplicates([id_col]))
+    row = fresh("_row", docs.columns)
+    first = F.min_by(F.struct(*columns), F.xxhash64(text_col)).alias(row)
+    chosen = docs.join(repeated, id_col, "left_semi").groupBy(id_col).agg(first).select(f"{row}.*")
+    return single.unionByName(chosen)

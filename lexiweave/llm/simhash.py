@@ -229,9 +229,11 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
-    Of rows that repeat an id one stays. Rows with a null id cannot be named and stay.
+    Of rows that repeat an id one stays, unless all of them are near-duplicates of smaller ids. Rows with a
+    null id cannot be named and stay.
     """
     found = near_duplicates(docs, id_col, text_col, **options)
-    gone = materialize(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
+    first = F.bool_or(F.col(id_col) == F.col("component_id")).alias("first")
+    gone = materialize(found.groupBy(id_col).agg(first).where("not first").select(id_col), "gone")
     kept = docs.join(gone, id_col, "left_anti")
-    return one_row_per_id(kept.select(*[F.col(f"`{c}`") for c in docs.columns]), id_col)
+    return one_row_per_id(kept.select(*[F.col(f"`{c}`") for c in docs.columns]), id_col, text_col)

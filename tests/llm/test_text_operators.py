@@ -388,10 +388,27 @@ def test_alignment_is_a_longest_common_subsequence():
 
 
 def test_one_row_per_id(spark):
-    got = one_row_per_id(docs_of(spark, [(1, "a", "en"), (1, "a", "en"), (2, "b", "en"), (None, "c", "en"), (None, "c", "en")]), "doc_id")
+    got = one_row_per_id(docs_of(spark, [(1, "a", "en"), (1, "a", "en"), (2, "b", "en"), (None, "c", "en"), (None, "c", "en")]), "doc_id", "text")
     assert sorted((str(r.doc_id) for r in got.collect())) == ["1", "2", "None", "None"]
 
 
+def test_different_texts_under_one_id(spark):
+    texts = ["a red fox ran over the hill", None, "", "ten ships sailed north in the cold wind"]
+    got = [one_row_per_id(docs_of(spark, [(7, t, "en") for t in order]), "doc_id", "text").collect() for order in (texts, texts[::-1])]
+    assert len(got[0]) == 1 and got[0] == got[1]
+    # The id of a text of its own is not lost, although another row of that id repeats an earlier text.
+    rows = [(3, texts[0], "en"), (5, texts[0], "en"), (5, texts[3], "en"), (6, texts[0], "en"), (6, texts[0], "en")]
+    assert sorted(r.doc_id for r in simhash.keep_one(docs_of(spark, rows)).collect()) == [3, 5]
+
+
+def test_single_matches_beside_a_chain():
+    # One seed stands at many places of a text: its matches are single, the rising ones beside them are a chain.
+    x = np.array([*range(0, 900, 9), 1000, 1008, 1016])
+    y = np.array([40] * 100 + [60, 68, 76])
+    long = [one.tolist() for one in substrings.chains(x, y) if len(one) > 1]
+    assert long == [[100, 101, 102]]
+
+
 def test_slices_hold_whole_texts():
     from lexiweave.llm.batches import text_slices, words
 
