@@ -4,7 +4,7 @@ The patterns give the base spans. The field tags every white-space token of a te
 inside or outside from the shape of the token, its neighbouring words and features of the file, and
 the best tag sequence is found by Viterbi. It is trained on the base spans of a bounded sample, with
 what the patterns look for withheld at random, so it also finds secrets that stand elsewhere.
-Its spans are added where no base span is.
+Its spans are added as far as no base span covers them.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _LEAST_ASSIGN, _LEAST_ACCESS = 6, 20
+# What may stand beside a base span in its token and is no part of a secret.
+_AROUND = " \t\n\v\f\r\"'`,;.()[]{}<>"
 KINDS = ("assign", "access", "hex", "crf")
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
@@ -303,6 +305,22 @@ def _added(tags: np.ndarray, features: dict[str, np.ndarray]) -> list[tuple[int,
     return list(zip(features["text"][on[first]].tolist(), features["start"][on[first]].tolist(), features["end"][on[last]].tolist(), strict=True))
 
 
+def _remains(text: str, start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What ordered base spans leave of a span, without white space, quotes and punctuation at the cuts."""
+    inside = [(x, y) for x, _, y in base if x < end and y > start]
+    if not inside:
+        return [(start, end)]
+    parts, at = [], start
+    for x, y in [*inside, (end, end)]:
+        if x > at:
+            part = text[at:x]
+            a, b = at + len(part) - len(part.lstrip(_AROUND)), at + len(part.rstrip(_AROUND))
+            if a < b:
+                parts.append((a, b))
+        at = max(at, y)
+    return parts
+
+
 def _scan(column: pa.Array, field: Field) -> Iterator[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
     """(base spans, all spans) of every text of a column."""
     for _, _, data, offsets in text_slices(column):
@@ -313,13 +331,13 @@ def _scan(column: pa.Array, field: Field) -> Iterator[tuple[list[tuple[int, int,
             extra.setdefault(text, []).append((s, e))
         for k in range(len(offsets) - 1):
             raw = data[offsets[k] : offsets[k + 1]].tobytes()
-            base = base_spans(raw.decode("utf-8"))
+            whole = raw.decode("utf-8")
+            base = base_spans(whole)
             found = list(base)
             for s, e in extra.get(k, ()):
                 a = len(raw[: s - offsets[k]].decode("utf-8"))
                 b = a + len(raw[s - offsets[k] : e - offsets[k]].decode("utf-8"))
-                if all(b <= x or y <= a for x, _, y in base):
-                    found.append((a, 3, b))
+                found += [(x, 3, y) for x, y in _remains(whole, a, b, base)]
             yield base, sorted(found)
 
 
@@ -356,7 +374,7 @@ def scan(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
 def redact(docs: DataFrame, field: Field, text_col: str = "text", mark: str = "<secret>") -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``; other columns are left alone.
 
-    Overlapping spans are one. A null text stays null.
+    Spans that overlap or touch are one. A null text stays null.
     """
     schema = docs.schema
     place = docs.columns.index(text_col)
@@ -379,7 +397,7 @@ def redact(docs: DataFrame, field: Field, text_col: str = "text", mark: str = "<
 def _without(text: str, found: list[tuple[int, int, int]], mark: str) -> str:
     parts, at = [], 0
     for s, _, e in found:
-        if s >= at:
+        if s > at or not parts:
             parts += [text[at:s], mark]
         at = max(at, e)
     return "".join([*parts, text[at:]])
