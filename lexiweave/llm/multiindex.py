@@ -95,6 +95,8 @@ class Index:
 
 
 def _codebook(data: np.ndarray, codewords: int, rounds: int = 12, seed: int = 17) -> np.ndarray:
+    if not data.shape[1]:
+        return np.zeros((1, 0))
     rng = np.random.default_rng(seed)
     distinct = np.unique(data, axis=0)
     book = distinct[rng.choice(len(distinct), min(codewords, len(distinct)), replace=False)]
@@ -134,30 +136,44 @@ def _matrix(units: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(units), "<f8").reshape(len(units), -1)
 
 
-def _probes(vectors: DataFrame, index: Index) -> DataFrame:
+def _first_cells(indexes: dict[int, Index]) -> dict[int, int]:
+    """Where the cells of each length begin in the numbering of all cells."""
+    starts, at = {}, 0
+    for length, index in sorted(indexes.items()):
+        starts[length] = at
+        at += index.cells
+    return starts
+
+
+def _probes(vectors: DataFrame, indexes: dict[int, Index]) -> DataFrame:
     """(node, copies, unit, cell, visits): every vector with its own cell and the cells that it visits."""
+    starts = _first_cells(indexes)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if len(frame):
-                units = _matrix(frame["unit"])
-                yield frame.assign(cell=index.cell(units), visits=index.visited(units))
+            for size, part in frame.groupby(frame["unit"].str.len()):
+                index, start, units = indexes[size // 8], starts[size // 8], _matrix(part["unit"])
+                visits = [[start + c for c in cells] for cells in index.visited(units)]
+                yield part.assign(cell=start + index.cell(units), visits=visits)
 
     return vectors.mapInPandas(run, "node long, copies long, unit binary, cell int, visits array<int>")
 
 
 def links(
-    vectors: DataFrame, index: Index, min_cosine: float = MIN_COSINE, block_rows: int = BLOCK_ROWS
+    vectors: DataFrame, indexes: dict[int, Index], min_cosine: float = MIN_COSINE, block_rows: int = BLOCK_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """(node, links) counts and (a, b) stars of linked nodes; vectors has (node, copies, unit).
 
+    ``indexes`` has one index for each length. Each length has cells of its own, so vectors of different
+    lengths do not meet.
+
     Visits and members of a cell are cut into blocks by a hash of the node, and every pair of blocks is
     one tile. A pair that meets from both sides counts once.
     """
-    probes = materialize(_probes(vectors, index), "probes")
+    probes = materialize(_probes(vectors, indexes), "probes")
     cells = probes.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("m_blocks"))
     visits = probes.select("node", "copies", "unit", F.col("cell").alias("own"), "visits", F.explode("visits").alias("cell"))
-    # At most one row per cell of the grid, whose size is a parameter.
+    # At most one row per cell of the grids, whose size is a parameter.
     width = visits.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("v_blocks"))
     grid = materialize(cells.join(width, "cell"), "grid")
 
@@ -175,9 +191,12 @@ def links(
     tasks = task_count(vectors.sparkSession) * 4
     tiles = asking.unionByName(held).repartition(tasks, "cell", "v", "m").sortWithinPartitions("cell", "v", "m")
 
+    starts = _first_cells(indexes)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for tile in _tiles(frames):
-            found = _tile_links(tile, index.cells, min_cosine)
+            length = len(tile["unit"].iloc[0]) // 8
+            found = _tile_links(tile, starts[length], indexes[length].cells, min_cosine)
             if len(found):
                 yield found
 
@@ -204,22 +223,20 @@ def _tiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(rest)
 
 
-def _tile_links(tile: pd.DataFrame, n_cells: int, min_cosine: float) -> pd.DataFrame:
+def _tile_links(tile: pd.DataFrame, first_cell: int, n_cells: int, min_cosine: float) -> pd.DataFrame:
     """Per node of a tile: the smallest node that it reaches there, and how many vectors it links to."""
     ask, held = tile[tile["asks"]], tile[~tile["asks"]]
     none = pd.DataFrame({"a": [], "b": [], "links": []}, dtype=np.int64)
     if not len(ask) or not len(held):
         return none
     x, y = _matrix(ask["unit"]), _matrix(held["unit"])
-    if x.shape[1] != y.shape[1]:
-        return none
     node_x, node_y = ask["node"].to_numpy(), held["node"].to_numpy()
     many_x, many_y = ask["copies"].to_numpy(), held["copies"].to_numpy()
     # Whether a member visits the cell of the vector that asks: then the pair meets there as well.
     looks = np.zeros((len(held), n_cells), bool)
     spots = held["visits"].tolist()
-    looks[np.repeat(np.arange(len(held)), [len(v) for v in spots]), np.concatenate(spots)] = True
-    back = looks[:, ask["own"].to_numpy()].T
+    looks[np.repeat(np.arange(len(held)), [len(v) for v in spots]), np.concatenate(spots) - first_cell] = True
+    back = looks[:, ask["own"].to_numpy() - first_cell].T
     good = (x @ y.T >= min_cosine) & (node_x[:, None] != node_y[None, :])
     good &= ~back | (node_x[:, None] < node_y[None, :])
     i, j = np.nonzero(good)
@@ -256,23 +273,25 @@ def near_duplicates(
     """(id, n_links, component_id, kept) of every row whose id is not null.
 
     Vectors that are null, empty, zero or hold null or non-finite values link with nothing. Equal
-    directions are one node with a number of copies, which all link with each other. Vectors of another
-    length than the most frequent one have no angle with those and stay alone. Rows with a repeated id count as separate vectors and
+    directions are one node with a number of copies, which all link with each other. Vectors of
+    different lengths have no angle; each length has an index of its own. Rows with a repeated id count as separate vectors and
     carry the smallest id. An empty table gives no rows.
     """
     units = materialize(unit_vectors(df.where(F.col(id_col).isNotNull()), id_col, vector_col), "units")
     usable = units.where("unit is not null")
-    lengths = usable.groupBy(F.octet_length("unit").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    if not lengths:
+    nodes = materialize(usable.groupBy("unit").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "nodes")
+    size = F.octet_length("unit")
+    sizes = nodes.groupBy(size.alias("size")).count().orderBy("size").collect()
+    if not sizes:
         return units.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    same = usable.where(F.octet_length("unit") == lengths[0]["size"])
-    nodes = materialize(same.groupBy("unit").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "nodes")
-    count = nodes.count()
-    sample = drawn(nodes, F.col("unit"), sample_vectors, count).select("unit").toPandas()
-    if not len(sample):
-        sample = nodes.limit(1).select("unit").toPandas()
-    index = Index(_matrix(sample["unit"].sort_values()), codewords, min_cosine, target_recall)
-    counts, stars = links(nodes.select("node", "copies", "unit"), index, min_cosine, block_rows)
+    indexes = {}
+    for r in sizes:
+        same = nodes.where(size == r["size"])
+        sample = drawn(same, F.col("unit"), sample_vectors, r["count"]).select("unit").toPandas()
+        if not len(sample):
+            sample = same.limit(1).select("unit").toPandas()
+        indexes[r["size"] // 8] = Index(_matrix(sample["unit"].sort_values()), codewords, min_cosine, target_recall)
+    counts, stars = links(nodes.select("node", "copies", "unit"), indexes, min_cosine, block_rows)
     found = nodes.join(counts, "node", "left").join(components(stars).withColumnRenamed("id", "node"), "node", "left")
     found = materialize(
         found.select(
