@@ -23,8 +23,10 @@ THRESHOLD = 0.3
 # Bound of the training sample: labelled texts, and the longest of them in characters.
 SAMPLE_TEXTS = 6000
 SAMPLE_CHARS = 16000
-# A word counts if it occurs in this many texts of the sample.
-LEAST_TEXTS = 8
+# A word counts if it occurs in this share of the texts of the rarer label in the sample, as a number
+# of texts that is at least the first and at most the second.
+LEAST_SHARE = 0.025
+LEAST_TEXTS = (2, 8)
 
 
 def bags(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
@@ -74,6 +76,20 @@ class Model:
         silent[none] = np.logaddexp(0, self.bias)
         return -np.expm1(-silent)
 
+    def shift(self, parts: list[Part], labels: np.ndarray, weights: np.ndarray) -> None:
+        """Move the bias until the weighted mean of the scores is that of the labels."""
+        wanted = float((weights * labels).sum())
+        sums = [np.bincount(p.sentence, self.weights[p.word], len(p.text)) for p in parts]
+        low, high = self.bias - 40.0, self.bias + 40.0
+        for _ in range(60):
+            middle, total = (low + high) / 2, 0.0
+            for part, sentence in zip(parts, sums, strict=True):
+                count = int(part.text[-1]) + 1
+                silent = np.bincount(part.text, np.logaddexp(0, middle + sentence), count)
+                total += float((weights[part.first : part.first + count] * -np.expm1(-silent)).sum())
+            low, high = (low, middle) if total > wanted else (middle, high)
+        self.bias = (low + high) / 2
+
     def fit(self, parts: list[Part], labels: np.ndarray, steps: int = 120, rate: float = 0.25, decay: float = 2e-4) -> None:
         """Adagrad on the mean likelihood of the texts' labels, through the noisy-or.
 
@@ -101,6 +117,12 @@ class Model:
             self.bias -= rate * bias_grad / np.sqrt(bias_pace)
 
 
+def _shares(counts: dict[int, int], size: int) -> dict[int, int]:
+    """Texts of each label in a sample of ``size``: half for each, more if the other has fewer."""
+    have = {k: counts.get(k, 0) for k in (0, 1)}
+    return {k: min(have[k], max(size // 2, size - have[1 - k])) for k in (0, 1)}
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -111,8 +133,10 @@ def train(
     sample_texts: int = SAMPLE_TEXTS,
     sample_chars: int = SAMPLE_CHARS,
 ) -> Model:
-    """Fit the model on at most ``sample_texts`` labelled texts, chosen by a hash of their id.
+    """Fit the model on at most about ``sample_texts`` labelled texts, chosen by a hash of their id.
 
+    Each label has up to half of them, and what the rarer one leaves goes to the other. If their shares
+    then differ from those of all labels, the bias is moved until the mean score is right for these.
     ``usable`` is a condition on the labels. A sampled text longer than ``sample_chars`` is left out.
     Null labels are left out; without labels the model scores every text alike.
     """
@@ -122,7 +146,11 @@ def train(
     known = known.groupBy(id_col).agg((F.max(label_col) > 0).cast("int").alias("label"))
     texts = docs.where(F.length(text_col) <= sample_chars).select(id_col, F.col(text_col).alias("text"))
     # Ids are reduced to the sample first, so that only its texts are moved.
-    sample = drawn(known, F.col(id_col), sample_texts, known.count())
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    share = _shares(counts, sample_texts)
+    sample = drawn(known.where("label = 0"), F.col(id_col), share[0], counts.get(0, 0)).unionByName(
+        drawn(known.where("label = 1"), F.col(id_col), share[1], counts.get(1, 0))
+    )
     rows = texts.join(F.broadcast(sample), id_col).select("text", "label").limit(2 * sample_texts).toPandas()
     rows = rows.sort_values(["text", "label"], ignore_index=True)
     model = Model()
@@ -137,12 +165,18 @@ def train(
         texts_with += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
         parts.append(Part(first, bag["word"].astype(np.int32), bag["sentence"].astype(np.int32), bag["text"].astype(np.int32)))
     # Only words that occur often enough move.
-    known = texts_with >= LEAST_TEXTS
+    labels_ = rows["label"].to_numpy()
+    rarer = int(min(labels_.sum(), len(labels_) - labels_.sum()))
+    known = texts_with >= int(np.clip(round(LEAST_SHARE * rarer), *LEAST_TEXTS))
     for part in parts:
         used = known[part.word]
         part.word, part.sentence = part.word[used], part.sentence[used]
     if parts:
-        model.fit(parts, rows["label"].to_numpy())
+        model.fit(parts, labels_)
+        if any(share[k] < counts.get(k, 0) for k in share) and 0 < labels_.sum() < len(labels_):
+            # What one text of each label stands for.
+            stands = np.array([counts[k] / (labels_ == k).sum() for k in (0, 1)])
+            model.shift(parts, labels_, stands[labels_])
     return model
 
 
