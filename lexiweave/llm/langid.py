@@ -196,6 +196,8 @@ def train(
 ) -> BiGru | None:
     """Fit the network on at most ``sample_windows`` windows per language; None without labelled text.
 
+    More languages than ``max_languages`` are an error, so none gets the name of another one.
+
     A window is taken at a place of the text that depends on the text's hash. Rows are chosen by that
     hash as well, at a rate that follows the count of their language, so only the sample is sent.
     """
@@ -203,9 +205,11 @@ def train(
     if usable is not None:
         labelled = labelled.where(usable)
     labelled = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = labelled.groupBy("lang").count().limit(max_languages + 1).collect()
     if not counts:
         return None
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages have labels; raise max_languages")
     classes = sorted(x["lang"] for x in counts)
     digest = F.xxhash64("text")
     rate = F.create_map(*[F.lit(x) for c in counts for x in (c["lang"], sample_windows / c["count"])])
