@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiweave.llm import decontaminate, langid, multiindex, packing, quality, secrets, simhash, substrings, tokencounts, toxicity
+from lexiweave.llm import (
+    decontaminate,
+    fingerprints,
+    langid,
+    multiindex,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    spelling,
+    substrings,
+    tokencounts,
+    toxicity,
+    whitening,
+)
 from lexiweave.llm.batches import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +111,21 @@ def op9_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, how like they are, and the near fingerprints."""
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent word at one edit, and the last of such a chain."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
