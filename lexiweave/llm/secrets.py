@@ -2,9 +2,11 @@
 
 The patterns give the base spans. The field tags every white-space token of a text as secret begin,
 inside or outside from the shape of the token, its neighbouring words and features of the file, and
-the best tag sequence is found by Viterbi. It is trained on the base spans of a bounded sample, with
-what the patterns look for withheld at random, so it also finds secrets that stand elsewhere.
-Its spans are added as far as no base span covers them.
+the best tag sequence is found by Viterbi. It is trained on the base spans of a bounded sample. The shape
+tells how long a token is and how often digits, small and capital letters take turns in it, but not whether it
+is hexadecimal, and the words around are withheld in half of the windows, so the field also finds secrets
+of other alphabets without a key word. Its spans are added as far as no base span covers them and they hold
+a letter or digit.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiweave.llm.batches import byte_symbols, drawn, span_hashes, text_slices, words
+from lexiweave.llm.batches import byte_symbols, cores, span_hashes, text_slices, words
 
 # The patterns of the base spans and the least length of what they find.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -33,11 +35,13 @@ KINDS = ("assign", "access", "hex", "crf")
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 # Tables of the field: token shapes, hashed neighbouring words, file features.
-_SHAPES, _WORDS, _FILES = 4096, 1024, 16
+_SHAPES, _WORDS, _FILES = 512, 1024, 16
 # Texts of the training sample, half of them with base spans; texts it is drawn from; tokens of a text that are used.
 SAMPLE_TEXTS = 1200
 POOL_TEXTS = 40000
 _TRAIN_TOKENS = 40
+# Tables that tell what stands around a token.
+_CONTEXT = ("before", "after", "shape_before")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -56,44 +60,49 @@ def spans_text(found: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in found)
 
 
-# Classes of bytes that shapes count: digit, lower, upper, hex digit, assignment or quote, other.
-_IS_DIGIT = np.zeros(256, np.int32)
-_IS_DIGIT[48:58] = 1
-_IS_LOWER = np.zeros(256, np.int32)
-_IS_LOWER[97:123] = 1
-_IS_UPPER = np.zeros(256, np.int32)
-_IS_UPPER[65:91] = 1
-_IS_HIGH = np.zeros(256, np.int32)
-_IS_HIGH[128:] = 1
-_IS_MARK = np.zeros(256, np.int32)
-_IS_MARK[[ord(c) for c in "=:\"'"]] = 1
-# One count per class in a field of 12 bits; longer tokens are counted in separate sums.
-_FIELDS = (_IS_DIGIT, _IS_LOWER, _IS_UPPER, _IS_HIGH, _IS_MARK)
+# Classes of bytes: digit, lower, upper, other letter, assignment mark; the others have class 0.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[48:58], _CLASS[97:123], _CLASS[65:91], _CLASS[128:] = 1, 2, 3, 4
+_CLASS[[ord(c) for c in "=:"]] = 5
+# Lengths from which a token counts as longer.
+_LENGTHS = np.array([4, 8, 12, 16, 20, 28, 40])
+
+
+def _sums(what: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(what) + 1, np.int32)
+    np.cumsum(what, out=sums[1:])
+    return sums
 
 
 def token_features(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """Tokens of a slice with their shape, hashed word and the file feature of their text."""
+    """Tokens of a slice with their shape, hashed word and the file feature of their text.
+
+    The shape is that of the token without punctuation around it: its length, the share of neighbouring
+    characters of different classes, and whether it holds digits, letters beyond ASCII, an assignment mark or
+    other marks. A token of punctuation alone has shape 0.
+    """
     starts, ends, first = words(data, offsets)
-    counts = []
-    for field in _FIELDS:
-        sums = np.zeros(len(data) + 1, np.int32)
-        np.cumsum(field[data], out=sums[1:])
-        counts.append(sums[ends] - sums[starts])
-    digit, lower, upper, high, mark = counts
-    length = (ends - starts).astype(np.int32)
-    other = length - digit - lower - upper - high - mark
-    size = np.minimum(np.ceil(np.log2(np.maximum(length, 1))).astype(np.int64), 7)
-    share = np.minimum(digit * 4 // np.maximum(length, 1), 3)
-    shape = size
-    for part, width in ((share, 4), (digit > 0, 2), (lower > 0, 2), (upper > 1, 2), (upper > 0, 2), (high > 0, 2), (mark > 0, 2), (other > 1, 2)):
-        shape = shape * width + part.astype(np.int64)
+    kind = _CLASS[data]
+    solid, begin, end = cores(data, starts, ends)
+    turns = np.zeros(len(data), bool)
+    turns[1:] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0) & (kind[1:] < 4) & (kind[:-1] < 4)
+    digits, high, marks, others, turned = (_sums(x) for x in (kind == 1, kind == 4, kind == 5, kind == 0, turns))
+    length = (end - begin).astype(np.int32)
+    share = (turned[end] - turned[np.minimum(begin + 1, end)]) * 8 // np.maximum(length, 1)
+    parts = (
+        (np.minimum(share, 2), 3), (digits[end] > digits[begin], 2), (high[end] > high[begin], 2),
+        (marks[end] > marks[begin], 2), (others[end] - others[begin] > 2, 2),
+    )
+    core = np.searchsorted(_LENGTHS, length, side="right").astype(np.int64)
+    for part, width in parts:
+        core = core * width + part.astype(np.int64)
+    shape = np.zeros(len(starts), np.int64)
+    shape[solid] = core + 1
     hashes = span_hashes(byte_symbols(data), starts, ends) if len(starts) else np.zeros(0, np.uint64)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     total = np.maximum(np.diff(offsets), 1)
-    sums = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(digit + mark, out=sums[1:])
-    marked = (sums[first[1:]] - sums[first[:-1]]) * 100 // total
-    file = np.minimum(marked, 3) * 4 + np.minimum(np.log10(total).astype(np.int64), 3)
+    marked = (digits + marks)[offsets[1:]] - (digits + marks)[offsets[:-1]]
+    file = np.minimum(marked * 100 // total, 3) * 4 + np.minimum(np.log10(total).astype(np.int64), 3)
     return {
         "start": starts, "end": ends, "first": first, "text": text, "shape": shape,
         "word": (hashes % np.uint64(_WORDS)).astype(np.int64), "file": file[text],
@@ -236,15 +245,17 @@ def _tagged(features: dict[str, np.ndarray], k: int, spans: list[tuple[int, int,
 def train(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TEXTS, pool_texts: int = POOL_TEXTS) -> Field:
     """Fit the field on at most ``sample_texts`` texts, half of them with base spans if there are enough.
 
-    They come from about ``pool_texts`` texts that are chosen by a hash.
-
-    Of a text, the tokens around its first base span are used, or around a hashed place.
+    They come from about ``pool_texts`` texts that are chosen by a hash, at rates that follow from the measured
+    number of rows. Of a text, the tokens around its first base span are used, or around a hashed place. An
+    empty table, or one without texts, gives a field that tags nothing.
     """
     text = F.col(text_col)
     pattern = r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
     size = 2400
     digest = F.xxhash64(text)
-    pool = drawn(docs.where(text.isNotNull()).select(text.alias("t"), digest.alias("d")), F.col("d"), pool_texts, docs.count())
+    known = docs.where(text.isNotNull()).select(text.alias("t"), digest.alias("d"))
+    total = max(known.count(), 1)
+    pool = known.where(F.pmod(F.xxhash64("d", F.lit(3)), F.lit(total)) < pool_texts)
     # A window of the text around what the pattern finds, so long texts cost no more than short ones.
     spot = F.regexp_instr("t", F.lit(pattern))
     start = F.when(spot > 0, F.greatest(spot - size // 2, F.lit(1))).otherwise(
@@ -252,7 +263,7 @@ def train(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TE
     )
     windows = pool.select(F.substring("t", start.cast("int"), F.lit(size)).alias("t"), "d", (spot > 0).alias("marked"))
     half = sample_texts // 2
-    few = F.pmod(F.xxhash64("d", F.lit(9)), F.lit(pool_texts)) < sample_texts
+    few = F.pmod(F.xxhash64("d", F.lit(9)), F.lit(min(total, pool_texts))) < sample_texts
     rows = windows.where("marked").limit(half).collect() + windows.where(~F.col("marked") & few).limit(half).collect()
     field = Field()
     texts = [x["t"] for x in sorted(rows, key=lambda x: (x["d"], x["t"]))]
@@ -276,10 +287,11 @@ def train(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TE
             a = max(0, min(middle - _TRAIN_TOKENS // 2, hi - lo - _TRAIN_TOKENS))
             b = min(hi - lo, a + _TRAIN_TOKENS)
             all_tags.append(tags[a:b])
+            withheld = rng.random() < 0.5
             for name, index in at.items():
                 part = index[lo + a : lo + b].copy()
-                if name in ("before", "shape_before") and rng.random() < 0.3:
-                    part[:] = _WORDS if name == "before" else 0
+                if withheld and name in _CONTEXT:
+                    part[:] = 0 if name == "shape_before" else _WORDS
                 columns[name].append(part)
     if not all_tags:
         return field
@@ -306,16 +318,17 @@ def _added(tags: np.ndarray, features: dict[str, np.ndarray]) -> list[tuple[int,
 
 
 def _remains(text: str, start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """What ordered base spans leave of a span, without white space, quotes and punctuation at the cuts."""
+    """What ordered base spans leave of a span, without white space, quotes and punctuation at the cuts.
+
+    A part without a letter or digit is left out.
+    """
     inside = [(x, y) for x, _, y in base if x < end and y > start]
-    if not inside:
-        return [(start, end)]
     parts, at = [], start
     for x, y in [*inside, (end, end)]:
         if x > at:
             part = text[at:x]
             a, b = at + len(part) - len(part.lstrip(_AROUND)), at + len(part.rstrip(_AROUND))
-            if a < b:
+            if any(c.isalnum() for c in text[a:b]):
                 parts.append((a, b))
         at = max(at, y)
     return parts
@@ -345,7 +358,7 @@ def scan(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: id, n_assign, n_access, n_hex, base_sha256, spans, n_crf.
 
     Spans are kind:start:end in code points, end exclusive. Null and empty texts have none. Rows that
-    repeat and ids that are null are scanned like others.
+    repeat and ids that are null are scanned like others, and an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +387,7 @@ def scan(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
 def redact(docs: DataFrame, field: Field, text_col: str = "text", mark: str = "<secret>") -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``; other columns are left alone.
 
-    Spans that overlap or touch are one. A null text stays null.
+    Spans that overlap or touch are one. A null text stays null, and an empty table gives an empty one.
     """
     schema = docs.schema
     place = docs.columns.index(text_col)
