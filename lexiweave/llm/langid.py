@@ -151,21 +151,13 @@ class BiGru:
         number = np.arange(len(row)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
         begin = offsets[row] + number * WINDOW
         size = np.minimum(WINDOW, offsets[row + 1] - begin)
-        for full in (True, False):
-            picked = np.flatnonzero((size == WINDOW) == full)
-            # Windows of like length are read together, so a batch has little padding.
-            picked = picked[np.argsort(size[picked], kind="stable")]
-            for at in range(0, len(picked), _READ):
-                some = picked[at : at + _READ]
-                widest = int(size[some].max())
-                spot = begin[some][:, None] + np.arange(widest)
-                read = data[np.minimum(spot, len(data) - 1)]
-                if full:
-                    summed = self.positions(read).sum(axis=0)
-                else:
-                    inside = (np.arange(widest)[:, None] < size[some][None, :]).astype(np.float32)
-                    summed = np.einsum("tnc,tn->nc", self.positions(read), inside)
-                np.add.at(total, row[some], summed)
+        reach = np.arange(WINDOW)
+        for at in range(0, len(row), _READ):
+            some = slice(at, at + _READ)
+            inside = reach < size[some][:, None]
+            # Short windows end in blanks, as in training, so a text is read alike whatever stands beside it.
+            read = np.where(inside, data[np.minimum(begin[some][:, None] + reach, len(data) - 1)], 32).astype(np.uint8)
+            np.add.at(total, row[some], np.einsum("tnc,nt->nc", self.positions(read), inside.astype(np.float32)))
         return total / np.maximum(lengths, 1)[:, None]
 
 
