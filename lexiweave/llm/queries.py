@@ -97,8 +97,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document, and how much of it fits 1024 tokens."""
-    return tokencounts.token_counts(table(spark, sf_dir, "documents"))
+    """Tokens of every document, how much of it fits 1024 tokens, and the counts at all of its prefixes."""
+    return tokencounts.token_counts(table(spark, sf_dir, "documents"), with_prefixes=True)
 
 
 @query

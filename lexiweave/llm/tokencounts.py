@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
@@ -182,7 +182,7 @@ def token_counts(
 
     ``limit_chars`` is the length of the longest prefix of at most ``limit`` tokens. ``prefix_counts``
     holds the count at every prefix, see :func:`restored`. Null and empty texts have no tokens. Rows with
-    null or repeated ids are counted like others.
+    null or repeated ids are counted like others, and an empty table gives an empty result.
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     names = [id_col, "n_bytes", "n_tokens", "over_limit", "limit_chars", *["prefix_counts"] * with_prefixes]
@@ -210,3 +210,25 @@ def token_counts(
     schema = f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean, limit_chars long"
     schema += ", prefix_counts binary" * with_prefixes
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+
+
+def budget_prefixes(counted: DataFrame, budgets: Sequence[int], id_col: str = "doc_id") -> DataFrame:
+    """(id, budget, chars) from stored ``prefix_counts``: the longest prefix of at most ``budget`` tokens.
+
+    Nothing is encoded again. One row per row of ``counted`` and budget; an empty text has 0.
+    """
+    asked = list(budgets)
+    names = [id_col, "budget", "chars"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for data in batch.column(1).to_pylist():
+                counts = restored(data)
+                found += [longest_prefix(counts, b) for b in asked]
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), len(asked)))
+            wanted = np.tile(np.array(asked, np.int64), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(wanted), pa.array(found, pa.int64())], names)
+
+    kind = counted.schema[id_col].dataType.simpleString()
+    return counted.select(F.col(id_col), "prefix_counts").mapInArrow(run, f"`{id_col}` {kind}, budget long, chars long")
