@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.rows import explode_once
 from ..functions.text import words
 from ..operators.graph import (
+    code_graph,
     communities,
     community_edges,
     community_nodes,
@@ -45,8 +46,9 @@ def word_graph(index: DataFrame) -> tuple[DataFrame, DataFrame]:
     theta = materialize(group_theta(index), "theta")
     edges = materialize(cooccurrence(index, theta), "edges")
     terms = index.select("group_id", "term").distinct()
-    first = materialize(communities(terms, edges), "first")
-    refined = materialize(refine_large(edges, first, theta), "refined")
+    graph = code_graph(terms, edges)
+    first = materialize(communities(terms, edges, graph=graph), "first")
+    refined = materialize(refine_large(edges, first, theta, graph=graph), "refined")
     kept = filter_communities(refined, first)
     nodes = materialize(community_nodes(kept, doc_frequency(index)), "nodes")
     return nodes, community_edges(nodes, edges)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.graph import (
+    code_graph,
     communities,
     community_edges,
     community_nodes,
@@ -303,8 +304,9 @@ def _(t):
     index, edges = _edges(t)
     edges = materialize(edges, "edges")
     terms = materialize(index.select("group_id", "term").distinct(), "terms")
-    first = materialize(communities(terms, edges), "first")
-    refined = materialize(refine_large(edges, first, group_theta(index)), "refined")
+    graph = code_graph(terms, edges)
+    first = materialize(communities(terms, edges, graph=graph), "first")
+    refined = materialize(refine_large(edges, first, group_theta(index), graph=graph), "refined")
     sizes = first.groupBy("group_id", "community").agg((F.count("*") > REFINE_ABOVE_SIZE).alias("large"))
     marked = refined.join(sizes, ["group_id", "community"])
     checks = marked.groupBy("group_id").agg(
@@ -318,12 +320,15 @@ def _(t):
 @query(
     "plan_word_graph",
     f"""WITH {SQL_POSTINGS} SELECT group_id, CAST(0 AS BIGINT) AS gaps, CAST(0 AS BIGINT) AS wrong_size,
-      CAST(0 AS BIGINT) AS twice FROM (SELECT DISTINCT group_id FROM post)""",
+      CAST(0 AS BIGINT) AS twice, CAST(0 AS BIGINT) AS loose_edges, CAST(0 AS BIGINT) AS wrong_weights,
+      CAST(0 AS BIGINT) AS missing_edges FROM (SELECT DISTINCT group_id FROM post)""",
 )
 def _(t):
-    # Nodes are numbered without gaps, carry their document frequency and are different terms.
+    # Nodes are numbered without gaps, carry their document frequency and are different terms. Edges have two
+    # nodes as ends and the number of documents that hold both, and none above the threshold is missing.
     index = _index(t)
-    nodes = materialize(word_graph(index)[0], "nodes")
+    nodes, edges = word_graph(index)
+    nodes, edges = materialize(nodes, "nodes"), materialize(edges, "edges")
     frequency = doc_frequency(index)
     checked = nodes.join(frequency, ["group_id", "term"])
     per_group = checked.groupBy("group_id").agg(
@@ -331,4 +336,15 @@ def _(t):
         F.count_if(F.col("size") != F.col("df")).alias("wrong_size"),
         (F.count("*") - F.count_distinct("term")).alias("twice"),
     )
-    return index.select("group_id").distinct().join(per_group, "group_id", "left").na.fill(0)
+    one = nodes.select("group_id", F.col("term").alias("src"), F.lit(1).alias("one"))
+    two = nodes.select("group_id", F.col("term").alias("dst"), F.lit(1).alias("two"))
+    every = cooccurrence(index, group_theta(index)).withColumnRenamed("w", "counted")
+    both = edges.join(every, ["group_id", "src", "dst"], "full").join(one, ["group_id", "src"], "left").join(two, ["group_id", "dst"], "left")
+    inside = F.col("one").isNotNull() & F.col("two").isNotNull()
+    ends = both.groupBy("group_id").agg(
+        F.count_if(F.col("w").isNotNull() & ~inside).alias("loose_edges"),
+        F.count_if(F.col("w").isNotNull() & ~F.col("w").eqNullSafe(F.col("counted"))).alias("wrong_weights"),
+        F.count_if(inside & F.col("w").isNull()).alias("missing_edges"),
+    )
+    found = index.select("group_id").distinct().join(per_group, "group_id", "left").join(ends, "group_id", "left")
+    return found.na.fill(0)
