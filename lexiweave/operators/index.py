@@ -5,6 +5,7 @@ Postings have the columns ``(group_id, term, doc_id)``, one row per pair.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,9 +24,14 @@ from ..runtime import (
     task_count,
 )
 
-# Ranges of first terms that pairs are built for. Rows of one range meet in few
-# tasks, so that a task sees few different pairs and reduces them well.
-PAIR_RANGES = 64
+# Most buckets that terms are dealt into to count pairs, and least tasks that count them.
+PAIR_RANGES = 32
+PAIR_TASKS = 32
+# Letters of an anchor, and of the longest term that is looked up by its anchor alone.
+ANCHOR = 3
+LONGEST = 64
+# Letters that a segment of a long run goes on by.
+SEGMENT = 512
 
 
 def assign_doc_id(df: DataFrame, order_by: Sequence[str], out: str = "doc_id") -> DataFrame:
@@ -45,106 +51,116 @@ def first_occurrence_id(docs: DataFrame, text: str = "text") -> DataFrame:
     ).select("group_id", "doc_id", "first_id")
 
 
+def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs (group_id, doc_id, text)`` with one row per text of a group: the one with the smallest id.
+
+    Only digests and ids are shuffled, and only texts that occur more than once are looked up.
+    """
+    keyed = docs.select("group_id", "doc_id", text, F.unhex(F.sha2(text, 256)).alias("_digest"))
+    rows = keyed.groupBy("group_id", "_digest", "doc_id").agg(F.count("*").alias("_rows"))
+    copies = rows.groupBy("group_id", "_digest").agg(
+        F.min("doc_id").alias("_first"), F.sum("_rows").alias("_n"), F.max("_rows").alias("_rows")
+    )
+    copies = materialize(copies.where("_n > 1").drop("_n"), "copies")
+    first = F.coalesce(F.col("_first") == F.col("doc_id"), F.lit(True))
+    single = lookup_join(keyed, copies, ["group_id", "_digest"], ["doc_id"], "left").where(first)
+    if not copies.where("_rows > 1").isEmpty():
+        # Rows that are repeated as a whole.
+        single = single.dropDuplicates(["group_id", "doc_id", "_digest"])
+    return single.select("group_id", "doc_id", text)
+
+
 def postings(
     docs: DataFrame, vocabulary: DataFrame, match: str = "token", merge_copies: bool = True
 ) -> DataFrame:
-    """Documents that hold each vocabulary term ``(group_id, term)``."""
-    if match == "substring":
-        return substring_postings(docs, vocabulary, merge_copies)
-    if match != "token":
+    """Documents that hold each vocabulary term ``(group_id, term)``.
+
+    With ``merge_copies`` equal texts of a group count once, under their smallest id; the copies are left out
+    before words are split.
+    """
+    if match not in ("token", "substring"):
         raise ValueError("match is 'token' or 'substring'")
-    tokens = explode_once(
-        docs, ["group_id", "doc_id", _copy_key(merge_copies)], F.array_distinct(words(F.col("text")))
-    )
-    found = lookup_join(
-        tokens, vocabulary.select("group_id", "term"), ["group_id", "term"], ["doc_id"]
-    )
-    return _merge(found, merge_copies)
+    single = docs.select("group_id", "doc_id", "text")
+    if merge_copies:
+        single = distinct_texts(single)
+    if match == "substring":
+        return substring_postings(single, vocabulary)
+    tokens = explode_once(single, ["group_id", "doc_id"], F.array_distinct(words(F.col("text"))))
+    return lookup_join(tokens, vocabulary.select("group_id", "term"), ["group_id", "term"], ["doc_id"])
 
 
-def _copy_key(merge_copies: bool):
-    """Digest of the text beside its words; equal texts have equal words, so no text is shuffled."""
-    digest = F.unhex(F.sha2("text", 256)) if merge_copies else F.lit(None).cast("binary")
-    return digest.alias("_digest")
+def _segments(run):
+    """A run of letters and digits in pieces of bounded length that overlap, so that every term lies in one."""
+    starts = F.sequence(F.lit(0), F.floor((F.length(run) - 1) / SEGMENT).cast("int"))
+    cut = F.transform(starts, lambda k: F.substring(run, k * SEGMENT + 1, F.lit(SEGMENT + LONGEST - 1)))
+    return F.when(F.length(run) <= SEGMENT + LONGEST, F.array(run)).otherwise(cut)
 
 
-def _merge(found: DataFrame, merge_copies: bool) -> DataFrame:
-    """Postings of distinct texts under the smallest id of their copies."""
-    if not merge_copies:
-        return found.select("group_id", "term", "doc_id")
-    return (
-        found.groupBy("group_id", "term", "_digest")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select("group_id", "term", "doc_id")
-    )
+def _piece_table(terms: DataFrame) -> DataFrame:
+    """Each term beside its anchor: the piece of three letters that fewest terms of its group hold.
+
+    ``(group_id, piece, at, term)``; a term of one or two letters is its own anchor.
+    """
+    size = F.least(F.length("term"), F.lit(ANCHOR))
+    cut = terms.select("group_id", "term", F.explode(F.sequence(F.lit(1), F.length("term") - size + 1)).alias("at"), size.alias("size"))
+    cut = materialize(cut.select("group_id", "term", "at", F.expr("substring(term, at, size)").alias("piece")), "pieces")
+    held = cut.groupBy("group_id", "piece").agg(F.count("*").alias("held"))
+    ranked = lookup_join(cut, held, ["group_id", "piece"], ["term"])
+    best = ranked.groupBy("group_id", "term").agg(F.min(F.struct("held", "at", "piece")).alias("best"))
+    return best.select("group_id", F.col("best.piece").alias("piece"), F.col("best.at").alias("at"), "term")
 
 
-def substring_postings(docs: DataFrame, vocabulary: DataFrame, merge_copies: bool = True) -> DataFrame:
+def substring_postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Documents whose lower-cased text holds the term as a substring.
 
-    A term of letters and digits lies inside one run of letters and digits. So
-    the test is made once per distinct run, by joining the substrings of the run
-    to the vocabulary, and the runs are joined to the documents. A term with other
-    characters is looked up by its longest run, which must lie in a run of the text,
-    and then tested against the texts that hold that; one without letters and digits
-    is tested against the texts of its group. The runs are stored once.
+    A term of letters and digits lies inside one run of letters and digits, and holds its anchor, a piece of
+    at most three letters. So the pieces of each distinct run are joined to the anchors, and the term is compared
+    around its anchor: a run of n letters gives up to n look-ups per length of anchors. Long runs are cut into
+    overlapping segments. A term with other characters, or one longer than the overlap, is looked up by the first
+    letters of its longest run and then tested against the texts that hold those; one without letters and digits
+    is tested against the texts of its group.
     """
     vocab = materialize(vocabulary.select("group_id", "term").distinct(), "vocabulary")
-    compact = vocab.where(~F.rlike("term", F.lit(WORD_BREAK)))
-    other = vocab.where(F.rlike("term", F.lit(WORD_BREAK)))
+    plain = ~F.rlike("term", F.lit(WORD_BREAK)) & (F.length("term") <= LONGEST) & (F.length("term") > 0)
+    compact = vocab.where(plain)
     pieces = drop_empty(F.split(F.lower("term"), WORD_BREAK))
     core = F.array_max(F.transform(pieces, lambda x: F.struct(F.length(x).alias("n"), x.alias("core"))))["core"]
-    other = materialize(other.withColumn("core", core), "other_terms")
+    other = materialize(vocab.where(~plain).withColumn("core", F.substring(core, 1, LONGEST)), "other_terms")
     cores = other.where("core is not null").select("group_id", F.col("core").alias("term")).distinct()
-    compact = materialize(compact.unionByName(cores).distinct(), "compact_terms")
-
-    runs = materialize(
-        explode_once(
-            docs,
-            ["group_id", "doc_id", _copy_key(merge_copies)],
-            F.array_distinct(drop_empty(F.split(F.lower("text"), WORD_BREAK))),
-            "run",
-        ),
-        "runs",
-    )
-    dictionary = runs.select("group_id", "run").distinct()
-    # Only lengths that occur in the vocabulary of the group are cut out.
-    lengths = compact.select("group_id", F.length("term").alias("_len")).distinct()
-    by_group = lengths.groupBy("group_id").agg(F.collect_set("_len").alias("_lens"))
-    cuts = (
-        lookup_join(dictionary, by_group, ["group_id"], ["run"])
-        .withColumn("_len", F.explode("_lens"))
-        .where(F.col("_len") <= F.length("run"))
-        .withColumn("_start", F.explode(F.sequence(F.lit(1), F.length("run") - F.col("_len") + 1)))
-        .select("group_id", "run", F.expr("substring(run, _start, _len)").alias("term"))
-    )
-    # One row per run with the terms inside it, so the rows of a run do not multiply
-    # in the join.
-    matches = materialize(
-        lookup_join(cuts, compact, ["group_id", "term"], ["run"])
-        .groupBy("group_id", "run")
-        .agg(F.collect_set("term").alias("inside")),
-        "matches",
+    anchors = materialize(_piece_table(compact.unionByName(cores).distinct()), "anchors")
+
+    split = F.array_distinct(F.flatten(F.transform(drop_empty(F.split(F.lower("text"), WORD_BREAK)), _segments)))
+    runs = materialize(explode_once(docs, ["group_id", "doc_id"], split, "run"), "runs")
+    sizes = anchors.select("group_id", F.length("piece").alias("_size")).distinct()
+    by_group = sizes.groupBy("group_id").agg(F.collect_set("_size").alias("_sizes"))
+    probes = (
+        lookup_join(runs.select("group_id", "run").distinct(), by_group, ["group_id"], ["run"])
+        .withColumn("_size", F.explode("_sizes"))
+        .where(F.col("_size") <= F.length("run"))
+        .withColumn("_start", F.explode(F.sequence(F.lit(1), F.length("run") - F.col("_size") + 1)))
+        .withColumn("piece", F.expr("substring(run, _start, _size)"))
     )
-    found = lookup_join(runs, matches, ["group_id", "run"], ["doc_id"])
-    inside = explode_once(found, ["group_id", "doc_id", "_digest"], "inside").distinct()
+    met = lookup_join(probes, anchors, ["group_id", "piece"], ["run"])
+    begin = F.col("_start") - F.col("at") + 1
+    same = (begin >= 1) & (F.substring("run", begin, F.length("term")) == F.col("term"))
+    # One row per run with the terms inside it, so the rows of a run do not multiply in the join.
+    inside = met.where(same).groupBy("group_id", "run").agg(F.collect_set("term").alias("inside"))
+    found = lookup_join(runs, materialize(inside, "matches"), ["group_id", "run"], ["doc_id"])
+    inside = explode_once(found, ["group_id", "doc_id"], "inside").distinct()
     if other.isEmpty():
-        return _merge(lookup_join(inside, vocab, ["group_id", "term"], ["doc_id"], "left_semi"), merge_copies)
+        return inside
     inside = materialize(inside, "inside")
-    whole = lookup_join(inside, vocab, ["group_id", "term"], ["doc_id"], "left_semi")
-    named = other.where("core is not null").select("group_id", F.col("core"), "term")
-    asked = lookup_join(
-        inside.withColumnRenamed("term", "core"), materialize(named, "named"), ["group_id", "core"], ["doc_id"]
-    )
-    asked = asked.select("group_id", "doc_id", "_digest", "term")
+    whole = lookup_join(inside, compact, ["group_id", "term"], ["doc_id"], "left_semi")
+    named = other.where("core is not null").select("group_id", "core", "term")
+    asked = lookup_join(inside.withColumnRenamed("term", "core"), named, ["group_id", "core"], ["doc_id"])
     texts = docs.select("group_id", "doc_id", "text")
-    across = asked.join(texts, ["group_id", "doc_id"]).where(F.contains(F.lower("text"), F.col("term")))
+    across = asked.select("group_id", "doc_id", "term").join(texts, ["group_id", "doc_id"])
+    across = across.where(F.contains(F.lower("text"), F.col("term")))
     marks = other.where("core is null").select("group_id", "term")
-    keyed = docs.select("group_id", "doc_id", _copy_key(merge_copies), "text")
-    bare = lookup_join(keyed, marks, ["group_id"], ["doc_id"]).where(F.contains(F.lower("text"), F.col("term")))
-    columns = ["group_id", "doc_id", "_digest", "term"]
+    bare = lookup_join(texts, marks, ["group_id"], ["doc_id"]).where(F.contains(F.lower("text"), F.col("term")))
+    columns = ["group_id", "doc_id", "term"]
     every = whole.select(*columns).unionByName(across.select(*columns)).unionByName(bare.select(*columns))
-    return _merge(every.distinct(), merge_copies)
+    return every.distinct()
 
 
 def doc_frequency(postings_df: DataFrame) -> DataFrame:
@@ -168,11 +184,29 @@ def posting_intersection_size(postings_df: DataFrame, pairs: DataFrame) -> DataF
     )
 
 
+def _tile_rows(per_doc: DataFrame, buckets: int) -> DataFrame:
+    """One row per document and pair of buckets: the terms of the one, of the other, and the tile of the pair.
+
+    Bucket b of a document is its terms whose number leaves b. Tile ``a * buckets + b`` has a up to b; on the
+    diagonal both lists are the same.
+    """
+    parts = F.posexplode("parts").alias("_at", "left")
+    first = per_doc.select("theta", "parts", parts)
+    later = F.slice("parts", F.col("_at") + 1, F.size("parts"))
+    both = first.select("theta", "left", F.explode(later).alias("right"))
+    tile = F.col("left.bucket") * buckets + F.col("right.bucket")
+    return both.select("theta", tile.cast("int").alias("tile"), F.col("left.tids").alias("left"), F.col("right.tids").alias("right"))
+
+
 def cooccurrence(postings_df: DataFrame, theta: DataFrame) -> DataFrame:
     """Edges ``(group_id, src, dst, w)``: pairs of terms that more than theta documents hold.
 
     ``theta`` is ``(group_id, theta)``. A term in no more than theta documents cannot have
     such an edge, so it is left out before pairs are built; the result is the same.
+
+    Terms are dealt into buckets. A document goes to every pair of its buckets (a tile) with the terms of those
+    two, so all documents with a pair of terms meet in one tile: its count is complete there, pairs up to
+    theta end there too, and no pair is shuffled. A very frequent term is in many tiles, like any document.
     """
     theta = materialize(theta.select("group_id", "theta"), "theta")
     frequency = lookup_join(doc_frequency(postings_df), theta, ["group_id"], ["term"])
@@ -181,51 +215,36 @@ def cooccurrence(postings_df: DataFrame, theta: DataFrame) -> DataFrame:
     # Terms become numbers that keep their order, so pairs are two longs.
     numbered = dense_index(alive, [F.asc("group_id"), F.asc("term")], "tid")
     small = fits_broadcast(numbered)
-    coded = keyed_join(postings_df, numbered, ["group_id", "term"], ["doc_id"], small)
+    coded = keyed_join(postings_df.select("group_id", "term", "doc_id"), numbered, ["group_id", "term"], ["doc_id"], small)
+    coded = lookup_join(coded, theta, ["group_id"], ["doc_id"])
 
-    # One row per document; an index has merged the copies of a text already.
-    per_doc = coded.groupBy("group_id", "doc_id").agg(F.sort_array(F.collect_set("tid")).alias("tids"))
-    merged = per_doc.where(F.size("tids") > 1).select("tids", F.lit(1).cast("long").alias("copies"))
-
-    # One row per document and range of first terms. A range is shared by several
-    # tasks when there are more tasks than ranges, and the pairs of a document
-    # with very many terms are shared by the tasks of all ranges.
+    # Enough tiles for all tasks, and few enough that a document has several terms in a bucket.
     tasks = task_count(postings_df.sparkSession)
-    shares = -(-tasks // PAIR_RANGES)
-    width = max(1, -(-numbered.count() // PAIR_RANGES))
-    ranges = F.transform("tids", lambda tid: F.floor(tid / width))
-    task = F.col("range") * shares + F.pmod(F.xxhash64("tids"), F.lit(shares))
-    rows = (
-        merged.select("tids", "copies", ranges.alias("ranges"))
-        .select("tids", "copies", "ranges", F.explode(F.array_distinct("ranges")).alias("range"))
-        .select(
-            "tids",
-            "copies",
-            F.array_position("ranges", F.col("range")).cast("int").alias("first"),
-            F.size(F.filter("ranges", lambda one: one == F.col("range"))).alias("length"),
-            task.cast("int").alias("task"),
-        )
-        .repartitionById(PAIR_RANGES * shares, F.col("task"))
-    )
-    firsts = rows.select(
-        "tids",
-        "copies",
-        "first",
-        F.posexplode(F.slice("tids", F.col("first"), F.col("length"))).alias("offset", "a"),
-    )
-    later = F.slice("tids", F.col("first") + F.col("offset") + 1, F.size("tids"))
-    pairs = (
-        explode_once(firsts, ["copies", "a"], later, "b")
-        .groupBy("a", "b")
-        .agg(F.sum("copies").alias("w"))
+    buckets = min(math.ceil(math.sqrt(8 * tasks)), PAIR_RANGES)
+    shares = max(1, -(-tasks // (buckets * (buckets + 1) // 2)))
+    per_bucket = coded.repartition("group_id", "doc_id").groupBy("group_id", "doc_id", (F.col("tid") % buckets).alias("bucket"))
+    per_bucket = per_bucket.agg(F.sort_array(F.collect_set("tid")).alias("tids"), F.max("theta").alias("theta"))
+    per_doc = per_bucket.groupBy("group_id", "doc_id").agg(
+        F.max("theta").alias("theta"), F.sort_array(F.collect_list(F.struct("bucket", "tids"))).alias("parts")
     )
-    group_of = lookup_join(numbered, theta, ["group_id"], ["tid"]).select(
-        F.col("tid").alias("a"), "theta"
+    rows = _tile_rows(per_doc, buckets)
+    # With very many tasks the documents of a tile are shared by some, and only then partial counts are added up.
+    share = F.pmod(F.xxhash64("left", "right"), F.lit(shares)).cast("int") if shares > 1 else F.lit(0)
+    dealt = rows.withColumn("tile", F.col("tile") * shares + share).repartition(max(tasks, PAIR_TASKS), "tile")
+    firsts = dealt.select("theta", "tile", "right", F.explode("left").alias("a"))
+    pairs = explode_once(firsts, ["theta", "tile", "a"], F.filter("right", lambda b: b != F.col("a")), "b")
+    # Within a bucket every pair is met in both orders.
+    inner = F.pmod("a", F.lit(buckets)) == F.pmod("b", F.lit(buckets))
+    counts = pairs.where(~inner | (F.col("a") < F.col("b"))).groupBy("tile", "a", "b").agg(
+        F.count("*").alias("w"), F.max("theta").alias("theta")
     )
-    pairs = keyed_join(pairs, group_of, ["a"], ["b"], small).where(F.col("w") > F.col("theta"))
+    if shares > 1:
+        counts = counts.groupBy("a", "b").agg(F.sum("w").alias("w"), F.max("theta").alias("theta"))
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    counts = counts.where(F.col("w") > F.col("theta")).select(*ends, "w")
     src = numbered.select(F.col("tid").alias("a"), "group_id", F.col("term").alias("src"))
     dst = numbered.select(F.col("tid").alias("b"), F.col("term").alias("dst"))
-    edges = keyed_join(keyed_join(pairs, src, ["a"], ["b"], small), dst, ["b"], ["a"], small)
+    edges = keyed_join(keyed_join(counts, src, ["a"], ["b"], small), dst, ["b"], ["a"], small)
     return edges.select("group_id", "src", "dst", "w")
 
 
