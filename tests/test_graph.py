@@ -190,3 +190,113 @@ def test_word_graph_of_one_term_is_empty(spark):
     index = spark.createDataFrame([("g", "only", 1)], POSTINGS)
     nodes, edges = word_graph(index)
     assert nodes.count() == 0 and edges.count() == 0
+
+
+def test_long_runs_and_long_terms_are_found(spark, monkeypatch):
+    monkeypatch.setattr(I, "SEGMENT", 20)
+    monkeypatch.setattr(I, "LONGEST", 8)
+    letters = random.Random(6)
+    docs = [("g", i, "".join(letters.choice("abc") for _ in range(300))) for i in range(6)]
+    docs += [("g", 10, "x" * 50), ("g", 11, "q" * 9 + "!" + "q" * 7), ("h", 12, "abcabc"), ("g", 13, None)]
+    terms = [docs[i][2][a : a + n] for i in range(6) for a, n in ((0, 3), (17, 8), (100, 9), (140, 40), (292, 8), (5, 1), (9, 2))]
+    terms += ["x" * 50, "x" * 51, "q" * 8, "q" * 9, "q!q", "qq!" + "q" * 7, "cc", "zzz"]
+    df = spark.createDataFrame(docs, "group_id string, doc_id bigint, text string")
+    vocabulary = spark.createDataFrame(sorted({("g", t) for t in terms}), "group_id string, term string")
+    want = sorted((g, t, d) for g, d, text in docs for t in set(terms) if g == "g" and t in (text or ""))
+    assert rows(I.substring_postings(df, vocabulary), "group_id", "term", "doc_id") == want
+
+
+def test_a_run_of_a_million_letters(spark):
+    letters = random.Random(7)
+    run = "".join(letters.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    terms = [run[a : a + n] for a, n in ((0, 12), (510, 40), (777_777, 64), (999_990, 10), (123_456, 200))] + ["zqzqzqzq"]
+    df = spark.createDataFrame([("g", 1, run)], "group_id string, doc_id bigint, text string")
+    vocabulary = spark.createDataFrame([("g", t) for t in terms], "group_id string, term string")
+    assert rows(I.substring_postings(df, vocabulary), "term") == sorted((t,) for t in terms if t in run)
+
+
+def test_copies_of_a_text_and_of_a_row(spark):
+    docs = [("g", 3, "x y"), ("g", 1, "x y"), ("g", 1, "x y"), ("g", 2, "x z"), ("h", 5, "x y"), ("g", 1, "w"), ("g", 7, None)]
+    df = spark.createDataFrame(docs, "group_id string, doc_id bigint, text string")
+    got = sorted((r.group_id, r.doc_id, r.text or "") for r in I.distinct_texts(df).collect())
+    assert got == [("g", 1, "w"), ("g", 1, "x y"), ("g", 2, "x z"), ("g", 7, ""), ("h", 5, "x y")]
+    vocabulary = spark.createDataFrame([(g, t) for g in "gh" for t in "wxyz"], "group_id string, term string")
+    found = rows(I.postings(df, vocabulary), "group_id", "term", "doc_id")
+    assert found == [("g", "w", 1), ("g", "x", 1), ("g", "x", 2), ("g", "y", 1), ("g", "z", 2), ("h", "x", 5), ("h", "y", 5)]
+
+
+def noisy(seed, n, p_in, p_out, size):
+    rng = random.Random(seed)
+    names = [f"v{i:03d}" for i in range(n)]
+    return [("g", a, b, rng.randint(1, 9)) for i, a in enumerate(names) for j, b in list(enumerate(names))[i + 1 :]
+            if rng.random() < (p_in if i // size == j // size else p_out)]
+
+
+def modularity_of(edges, group):
+    m2, degree, inner = 0.0, {}, 0.0
+    for _, a, b, w in edges:
+        m2 += 2 * w
+        degree[a], degree[b] = degree.get(a, 0) + w, degree.get(b, 0) + w
+        inner += 2 * w if group[a] == group[b] else 0
+    share = {}
+    for v, k in degree.items():
+        share[group[v]] = share.get(group[v], 0) + k
+    return inner / m2 - sum((x / m2) ** 2 for x in share.values())
+
+
+@pytest.mark.parametrize("seed,n,p_in,p_out,size", [(1, 60, 0.7, 0.05, 12), (2, 40, 0.9, 0.6, 10), (3, 30, 1.0, 1.0, 30)])
+def test_no_vertex_gains_by_a_move(spark, seed, n, p_in, p_out, size):
+    edges = noisy(seed, n, p_in, p_out, size)
+    names = sorted({v for _, a, b, _ in edges for v in (a, b)})
+    found = communities(spark.createDataFrame([("g", v) for v in names], "group_id string, term string"), spark.createDataFrame(edges, EDGES))
+    group = {r.term: r.community for r in found.collect()}
+    assert sorted(group) == names
+    q = modularity_of(edges, group)
+    assert q >= modularity_of(edges, {v: v for v in names})
+    # At the last level no two communities gain by a union.
+    for a, b in itertools.combinations(sorted(set(group.values())), 2):
+        assert modularity_of(edges, {v: a if c == b else c for v, c in group.items()}) <= q + 1e-9
+    planted = {v: int(v[1:]) // size for v in names}
+    assert q >= modularity_of(edges, planted) - 0.02
+
+
+def test_moves_of_a_round_never_lower_the_modularity(spark):
+    from lexiweave.operators import graph as G
+
+    edges = noisy(4, 50, 0.8, 0.3, 10)
+    names = sorted({v for _, a, b, _ in edges for v in (a, b)})
+    number = {v: i for i, v in enumerate(names)}
+    both = [(0, number[a], number[b], float(w)) for _, a, b, w in edges] + [(0, number[b], number[a], float(w)) for _, a, b, w in edges]
+    adjacency = spark.createDataFrame(both, "part bigint, v bigint, u bigint, w double").cache()
+    state = G._start(adjacency, True).cache()
+    coded = [("g", number[a], number[b], w) for _, a, b, w in edges]
+    group = {i: i for i in number.values()}
+    for turn in range(6):
+        proposals = G._proposals(adjacency, state, True)
+        moves = {r.v: r.next for r in G._moves(adjacency, proposals, turn, True).collect()}
+        if not moves:
+            break
+        after = {**group, **moves}
+        assert modularity_of(coded, after) > modularity_of(coded, group)
+        group = after
+        new = spark.createDataFrame(sorted(group.items()), "v bigint, next bigint")
+        state = state.join(new, "v").select("part", "v", F.col("next").alias("comm"), "k", "r", F.lit(True).alias("active")).cache()
+
+
+def test_refinement_on_the_coded_graph_is_the_same(spark):
+    from lexiweave.operators.graph import code_graph
+
+    edges = noisy(5, 40, 0.9, 0.25, 10) + [("h", "a", "b", 3)]
+    names = sorted({(g, v) for g, a, b, _ in edges for v in (a, b)})
+    vertices = spark.createDataFrame(names, "group_id string, term string")
+    df = spark.createDataFrame(edges, EDGES)
+    theta = spark.createDataFrame([("g", 2.0), ("h", 0.0)], "group_id string, theta double")
+    graph = code_graph(vertices, df)
+    first = communities(vertices, df, graph=graph)
+    assert rows(first) == rows(communities(vertices, df))
+    refined = rows(refine_large(df, first, theta, max_size=5, graph=graph))
+    assert refined == rows(refine_large(df, first, theta, max_size=5)) and len(refined) == len(names)
+    sizes = {}
+    for _, _, c, _ in refined:
+        sizes[c] = sizes.get(c, 0) + 1
+    assert all((p is not None) == (sizes[c] > 5) for _, _, c, p in refined)
