@@ -10,6 +10,7 @@ from .reports import (
     write_membership,
     write_tag_counts,
 )
+from .resume import finished_groups, pending_files, read_pending_lines
 from .text import (
     read_category_lines,
     read_grouped_lines,
@@ -19,6 +20,8 @@ from .text import (
 )
 
 __all__ = [
+    "finished_groups",
+    "pending_files",
     "read_category_lines",
     "read_cluster_members",
     "read_graph_edges",
@@ -27,6 +30,7 @@ __all__ = [
     "read_libsvm",
     "read_lines",
     "read_membership",
+    "read_pending_lines",
     "read_postings",
     "read_weighted_lines",
     "read_weighted_terms",

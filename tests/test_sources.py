@@ -88,3 +88,23 @@ def test_skip_done(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "group_id string, doc_id bigint")
     done = df.where("group_id = 'a'").select("group_id", F.lit(1).alias("x"))
     assert rows(skip_done(df, done)) == [("b", 2), ("b", 3)]
+
+
+def test_finished_groups_are_not_opened(spark, tmp_path):
+    given, output = tmp_path / "given", tmp_path / "output"
+    given.mkdir()
+    for name in ("a", "b c", "d+e", "f%g", "h[1]"):
+        (given / f"{name}.txt").write_text(f"first {name}\nsecond")
+    assert S.pending_files(spark, str(given), str(output)) == sorted(f"file:{given}/{n}.txt" for n in ("a", "b c", "d+e", "f%g", "h[1]"))
+    lines = S.read_pending_lines(spark, str(given), str(output))
+    assert lines.count() == 10
+    lines.where(F.col("group_id").isin("a", "b c", "d+e", "f%g")).write.partitionBy("group_id").csv(str(output))
+    assert rows(S.finished_groups(spark, str(output))) == [("a",), ("b c",), ("d+e",), ("f%g",)]
+    # The files of finished groups are made unreadable: opening one would fail.
+    for name in ("a", "b c", "d+e", "f%g"):
+        (given / f"{name}.txt").write_bytes(b"changed since")
+    assert S.pending_files(spark, str(given), str(output)) == [f"file:{given}/h[1].txt"]
+    rest = S.read_pending_lines(spark, str(given), str(output))
+    assert rows(rest, "group_id", "doc_id", "text") == [("h[1]", 0, "first h[1]"), ("h[1]", 1, "second")]
+    rest.write.partitionBy("group_id").mode("append").csv(str(output))
+    assert S.read_pending_lines(spark, str(given), str(output)).count() == 0
