@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import lookup_join, materialize, scratch_path
@@ -56,7 +56,8 @@ def lda_tables(model) -> tuple[DataFrame, DataFrame]:
     """The weights that a topic model was trained to, as tables: ``(idx, weights)`` of terms, ``(weights)`` of documents.
 
     The model is saved and its tables are read, so neither goes through the driver. Vertices with a
-    negative number are terms, the others documents; a document without words is no vertex.
+    negative number are terms, the others documents; a document without words is no vertex. An error is raised
+    if the tables do not agree with the model.
     """
     spark = SparkSession.active()
     path = scratch_path(spark, "lda")
@@ -65,9 +66,31 @@ def lda_tables(model) -> tuple[DataFrame, DataFrame]:
         "id", vector_to_array("topicWeights").alias("weights")
     )
     terms = counts.where("id < 0").select((-1 - F.col("id")).alias("idx"), "weights")
+    check_topic_terms(model, terms)
     return terms, counts.where("id >= 0").select("weights")
 
 
+def check_topic_terms(model, terms: DataFrame, n: int = 5, tolerance: float = 1e-6) -> None:
+    """Stop with an error unless ``(idx, weights)`` are the weights of the model.
+
+    The saved tables have no public layout, so the n terms that the model itself describes each topic by are
+    compared: their share of the topic, and that no other term of the table has a larger one.
+    """
+    told = model.describeTopics(n).select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"))
+    told = materialize(told.select("topic", F.col("t.termIndices").cast("bigint").alias("idx"), F.col("t.termWeights").alias("share")), "topics")
+    each = terms.select(F.col("idx").cast("bigint").alias("idx"), F.posexplode("weights").alias("topic", "weight"))
+    totals = each.groupBy("topic").agg(F.sum("weight").alias("total"), F.max("weight").alias("most"))
+    own = each.join(told.select("topic", "idx"), ["topic", "idx"])
+    both = told.join(own, ["topic", "idx"], "left").join(totals, "topic", "left")
+    share = F.col("weight") / F.col("total")
+    wrong = F.coalesce(F.abs(share - F.col("share")) > tolerance, F.lit(True))
+    lower = F.max("weight") < F.max("most") * (1 - tolerance)
+    found = both.groupBy("topic").agg(F.count_if(wrong).alias("wrong"), F.coalesce(lower, F.lit(True)).alias("lower"))
+    bad = found.where("wrong > 0 or lower").count()
+    if bad:
+        raise RuntimeError(f"the saved tables of the topic model differ from its topics in {bad} topics")
+
+
 def naive_bayes_terms(
     long: DataFrame, labels: DataFrame, n_terms: int, smoothing: float = 1.0, id_col: str = "doc_id"
 ) -> DataFrame:
@@ -115,36 +138,86 @@ def fit_naive_bayes(
     return NaiveBayesTables(terms, materialize(classes, "bayes_classes"))
 
 
+def _gains(model: NaiveBayesTables, long: DataFrame, id_col: str) -> DataFrame:
+    """(id, label, gain): what the terms of a row that a class has seen add to its score; no other class is listed."""
+    extra = lookup_join(model.terms, model.classes.select("label", "unseen"), ["label"], ["idx"]).select(
+        "label", "idx", (F.col("log_prob") - F.col("unseen")).alias("more")
+    )
+    return (
+        lookup_join(long, extra, ["idx"], [id_col])
+        .groupBy(id_col, "label")
+        .agg(F.sum(F.col("value") * F.col("more")).alias("gain"))
+    )
+
+
+def _sizes(long: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """(id, size): known words of every id, 0 for one without any."""
+    sizes = long.groupBy(id_col).agg(F.sum("value").alias("size"))
+    return ids.select(id_col).distinct().join(sizes, id_col, "left").select(id_col, F.coalesce("size", F.lit(0.0)).alias("size"))
+
+
 def class_scores(model: NaiveBayesTables, long: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Log score of each class for every id of ``ids``: ``(id, scores)``, an array of (label, score).
 
-    A row without known words is scored by the priors. Only the list of classes is read by the driver;
-    the terms are joined.
+    A row without known words is scored by the priors. Terms and classes stay tables; the list of all classes
+    is one row that is read by the tasks. The result has as many scores as rows times classes; where the best
+    classes are enough, :func:`top_classes` does not build it.
     """
-    classes = model.classes.orderBy("label").collect()
-    each = F.array(*[F.struct(F.lit(c["label"]).alias("label"), F.lit(c["log_prior"]).alias("prior"), F.lit(c["unseen"]).alias("unseen")) for c in classes])
-    sizes = long.groupBy(id_col).agg(F.sum("value").alias("size"))
-    unseen = model.classes.select("label", "unseen")
-    extra = model.terms.join(F.broadcast(unseen), "label").select("label", "idx", (F.col("log_prob") - F.col("unseen")).alias("more"))
-    seen = (
-        lookup_join(long, materialize(extra, "bayes_gain"), ["idx"], [id_col])
-        .groupBy(id_col, "label")
-        .agg(F.sum(F.col("value") * F.col("more")).alias("more"))
-        .groupBy(id_col)
-        .agg(F.map_from_entries(F.collect_list(F.struct("label", "more"))).alias("gain"))
+    seen = _gains(model, long, id_col).groupBy(id_col).agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "gain"))).alias("gain")
     )
-    rows = ids.select(id_col).distinct().join(sizes, id_col, "left").join(seen, id_col, "left")
-    size = F.coalesce("size", F.lit(0.0))
+    # A subquery of one row, so the plan holds no literal per class.
+    listed = model.classes.agg(F.sort_array(F.collect_list(F.struct("label", "log_prior", "unseen")))).scalar()
+    rows = _sizes(long, ids, id_col).join(seen, id_col, "left").withColumn("_classes", listed)
     scores = F.transform(
-        each,
+        "_classes",
         lambda c: F.struct(
             c["label"].alias("label"),
-            (c["prior"] + size * c["unseen"] + F.coalesce(F.try_element_at("gain", c["label"]), F.lit(0.0))).alias("score"),
+            (c["log_prior"] + F.col("size") * c["unseen"] + F.coalesce(F.try_element_at("gain", c["label"]), F.lit(0.0))).alias("score"),
         ),
     )
     return rows.select(id_col, scores.alias("scores"))
 
 
+def leading_classes(model: NaiveBayesTables, sizes: DataFrame, k: int) -> DataFrame:
+    """(size, label, score): the k best classes of each row size when no term of the row was seen in a class.
+
+    Of classes with equal priors only the k with the best score of an unseen word can be among them, whatever
+    the size, so these few are all that is compared.
+    """
+    rank = Window.partitionBy("log_prior").orderBy(F.desc("unseen"), F.asc("label"))
+    few = model.classes.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= k)
+    listed = few.agg(F.collect_list(F.struct("label", "log_prior", "unseen"))).scalar()
+    scored = F.transform(
+        "_classes", lambda c: F.struct((-(c["log_prior"] + F.col("size") * c["unseen"])).alias("neg"), c["label"].alias("label"))
+    )
+    best = F.slice(F.sort_array(scored), 1, k)
+    told = sizes.select("size").distinct().withColumn("_classes", listed).select("size", F.explode(best).alias("c"))
+    return told.select("size", F.col("c.label").alias("label"), (-F.col("c.neg")).alias("score"))
+
+
+def top_classes(model: NaiveBayesTables, long: DataFrame, ids: DataFrame, k: int = 1, id_col: str = "doc_id") -> DataFrame:
+    """The k best classes of every id as rows ``(id, rank, label, score)``; equal scores are ranked by label.
+
+    A class that has seen a term of the row is scored from its gains. The others differ by their priors and the
+    size of the row alone, so their best k depend on the size only. Scores are never built for all classes, so
+    the work grows with the terms of the rows and not with rows times classes.
+    """
+    sized = materialize(_sizes(long, ids, id_col), "sizes")
+    gains = lookup_join(_gains(model, long, id_col), model.classes, ["label"], [id_col])
+    seen = gains.join(sized, id_col).select(
+        id_col, "label", (F.col("log_prior") + F.col("size") * F.col("unseen") + F.col("gain")).alias("score")
+    )
+    other = lookup_join(sized, leading_classes(model, sized, k), ["size"], [id_col]).select(id_col, "label", "score")
+    # A gain is never negative, so the higher score of a class is the true one.
+    every = seen.unionByName(other).groupBy(id_col, "label").agg(F.max("score").alias("score"))
+    if k == 1:
+        best = every.groupBy(id_col).agg(F.max(F.struct("score", (-F.col("label")).alias("neg"))).alias("best"))
+        return best.select(id_col, F.lit(1).alias("rank"), (-F.col("best.neg")).alias("label"), F.col("best.score").alias("score"))
+    order = Window.partitionBy(id_col).orderBy(F.desc("score"), F.asc("label"))
+    return every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(id_col, "rank", "label", "score")
+
+
 def class_probabilities(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Probability of each class per row, as rows ``(id, cls, p)``."""
     top = F.array_max(F.transform("scores", lambda c: c["score"]))
@@ -159,7 +232,7 @@ def class_probabilities(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def predict_class(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Most likely class per row, the first of equal ones."""
+    """Most likely class per row of scores of all classes, the first of equal ones."""
     best = F.array_max(F.transform("scores", lambda c: F.struct(c["score"].alias("score"), (-c["label"]).alias("neg"))))
     return scores.select(id_col, (-best["neg"]).cast("int").alias("predicted"))
 
@@ -176,6 +249,22 @@ def margin_scores(model, df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
+def linear_weights(model) -> DataFrame:
+    """Weights of a linear model as a table ``(idx, weight)``; their number is bounded by the selected features."""
+    rows = [(i, float(w)) for i, w in enumerate(model.coefficients.toArray()) if w != 0.0]
+    return SparkSession.active().createDataFrame(rows, "idx int, weight double")
+
+
+def sparse_margins(long: DataFrame, weights: DataFrame, intercept: float, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Margin ``(id, score)`` of every id from its features ``(id, idx, value)``; without features it is the intercept."""
+    parts = lookup_join(long, weights, ["idx"], [id_col]).groupBy(id_col).agg(
+        F.sum(F.col("value") * F.col("weight")).alias("part")
+    )
+    return ids.select(id_col).join(parts, id_col, "left").select(
+        id_col, (F.lit(float(intercept)) + F.coalesce("part", F.lit(0.0))).alias("score")
+    )
+
+
 def split(df: DataFrame, train: float = SPLIT_TRAIN, seed: int = SPLIT_SEED, id_col: str = "doc_id"):
     """Repeatable random split by row id: ``(training rows, test rows)``.
 
@@ -225,3 +314,19 @@ def save_model(model, path: str) -> None:
 def load_model(kind, path: str):
     """``kind`` is the model class, e.g. ``KMeansModel``."""
     return kind.load(path)
+
+
+def stored_model(kind, path: str | None, fit):
+    """The model at ``path``, or the one that ``fit`` gives, which is then saved there; None stores nothing.
+
+    A model counts as saved when its last part was written.
+    """
+    if path is None:
+        return fit()
+    spark = SparkSession.active()
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/data/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return load_model(kind, path)
+    model = fit()
+    save_model(model, path)
+    return model

@@ -50,8 +50,8 @@ from ..operators.vectors import (
 )
 from ..functions.fields import profile_tag_array
 from ..functions.text import words
-from ..plans.affinity_classifier import classifier_report, profile_fields
-from ..plans.category_scores import fit_category_lines, fit_category_model, score_texts, score_tokens
+from ..plans.affinity_classifier import model_store, classifier_report, profile_fields
+from ..plans.category_scores import fit_category_lines, fit_category_model, predict_tokens, score_texts, score_tokens
 from ..plans.profile_clusters import (
     cluster_profiles,
     label_sweep,
@@ -60,7 +60,7 @@ from ..plans.profile_clusters import (
     profile_features,
     profile_report,
 )
-from ..plans.term_clusters import cluster_terms, hashed_rows
+from ..plans.term_clusters import cluster_terms, leading_components
 from ..plans.topics import topic_report
 from ..plans.word_graph import build_index
 from ..runtime import dense_index, lookup_join, materialize, scratch_path
@@ -499,13 +499,14 @@ def _(t):
     f"WITH {SQL_SCORES} SELECT doc_id, CAST(max_by(label, s) AS INT) AS predicted FROM joint GROUP BY 1",
 )
 def _(t):
-    return M.predict_class(score_tokens(*_scored(t)))
+    best = predict_tokens(*_scored(t))
+    return best.select("doc_id", F.col("label").cast("int").alias("predicted"))
 
 
 @query(
     "plan_category_scores",
     f"""WITH codes AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS cls FROM (SELECT DISTINCT source FROM documents)),
-      tags AS (SELECT DISTINCT source, unnest(list_slice({DOC_WORDS}, 1, 20)) AS term FROM documents),
+      tags AS (SELECT DISTINCT source, unnest({DOC_WORDS}) AS term FROM documents),
       ct AS (SELECT cls, term FROM tags JOIN codes USING (source)),
       tt AS (SELECT cls, count(*) AS total FROM ct GROUP BY 1), v AS (SELECT CAST(count(DISTINCT term) AS DOUBLE) AS v FROM ct),
       wd AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({DOC_WORDS}) AS term FROM documents)
@@ -517,10 +518,10 @@ def _(t):
       SELECT doc_id, count(*) AS classes, round(sum(s), 4) AS total FROM sc GROUP BY 1""",
 )
 def _(t):
-    # The first words of the texts of a source are its line of category words, without repeats.
-    tagged = t.documents.select("source", F.explode(F.slice(words(F.col("text")), 1, 20)).alias("term")).distinct()
+    # The words of all texts of a source are its line of category words, without repeats.
+    tagged = t.documents.select("source", F.explode(F.array_distinct(words(F.col("text")))).alias("term")).distinct()
     codes = dense_index(tagged.select("source").distinct(), [F.asc("source")], "label")
-    lines = materialize(tagged.join(F.broadcast(codes), "source").select("label", "term"), "lines")
+    lines = materialize(lookup_join(tagged, codes, ["source"], ["term"]).select("label", "term"), "lines")
     model, vocabulary = fit_category_lines(lines)
     tokens = t.tokens().select("doc_id", "term")
     scores = score_tokens(model, vocabulary, tokens, t.documents.select("doc_id"))
@@ -538,15 +539,14 @@ def _(t):
     """SELECT CAST(0 AS BIGINT) AS outside_split, CAST(0 AS BIGINT) AS other_scores, CAST(0 AS BIGINT) AS wrong_labels""",
 )
 def _(t):
-    # Scores are those of the model's own weights, of test rows only, beside the labels of the lines.
-    model, scored = classifier_report(t.labelled_lines(), "<sex>m</sex>", "doc_id")
-    weights = [float(x) for x in model.coefficients.toArray()]
-    parts = F.zip_with(vector_to_array("features"), F.array(*[F.lit(x) for x in weights]), lambda x, w: x * w)
-    own = F.aggregate(parts, F.lit(float(model.intercept)), lambda n, x: n + x)
+    # Scores from the weight table are those of the model, of test rows only, beside the labels of the lines.
+    lines = materialize(t.labelled_lines(), "lines")
+    model, scored = classifier_report(lines, "<sex>m</sex>", "doc_id", store=model_store(lines, "svm", "doc_id"))
+    own = M.margin_scores(model, scored, "doc_id").select("doc_id", F.col("score").alias("own"))
     labels = t.labels.select("doc_id", F.col("quality").cast("double").alias("quality"))
-    return scored.join(labels, "doc_id").agg(
+    return scored.join(own, "doc_id").join(labels, "doc_id").agg(
         F.count_if(M.split_bucket(M.SPLIT_SEED, "doc_id") < 60).alias("outside_split"),
-        F.count_if(F.abs(own - F.col("score")) > 1e-6 * (1 + F.abs("score"))).alias("other_scores"),
+        F.count_if(F.abs(F.col("own") - F.col("score")) > 1e-6 * (1 + F.abs("score"))).alias("other_scores"),
         F.count_if(F.col("label") != F.col("quality")).alias("wrong_labels"),
     )
 
@@ -554,7 +554,8 @@ def _(t):
 @query("ml6_margin_accuracy", "SELECT CAST(1 AS INT) AS consistent")
 def _(t):
     # The accuracy is the mean of those of the classes, weighted by their rows.
-    _, scored = classifier_report(t.labelled_lines(), "<sex>m</sex>", "doc_id")
+    lines = materialize(t.labelled_lines(), "lines")
+    _, scored = classifier_report(lines, "<sex>m</sex>", "doc_id", store=model_store(lines, "svm", "doc_id"))
     scored = materialize(scored.select("score", "label"), "scores")
     share = scored.agg(F.avg(F.when(F.col("label") == 1, 1.0).otherwise(0.0)).alias("pos"))
     mixed = F.coalesce("accuracy_pos", F.lit(0.0)) * F.col("pos") + F.coalesce("accuracy_neg", F.lit(0.0)) * (1 - F.col("pos"))
@@ -670,20 +671,19 @@ def _(t):
 
 @query(
     "ml13_cluster_terms",
-    f"""WITH {SQL_POSTINGS}, h AS (SELECT DISTINCT term, CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) AS x FROM post),
-      cell AS (SELECT term, x % 64 AS bucket, CASE WHEN (x // 64) % 2 = 0 THEN 1 ELSE -1 END AS sign FROM h),
-      dv AS (SELECT group_id, doc_id, bucket, sum(sign) AS v FROM post JOIN cell USING (term) GROUP BY 1, 2, 3),
-      rw AS (SELECT term, bucket, sum(v) AS v FROM post JOIN dv USING (group_id, doc_id) GROUP BY 1, 2)
-      SELECT term, CAST(sum(v) AS BIGINT) AS total, CAST(sum(v * v) AS BIGINT) AS square, CAST(1 AS INT) AS in_range FROM rw GROUP BY 1""",
+    f"""WITH {SQL_POSTINGS}, size AS (SELECT group_id, doc_id, count(*) AS n FROM post GROUP BY 1, 2),
+      whole AS (SELECT term, CAST(sum(n) AS BIGINT) AS row_sum FROM post JOIN size USING (group_id, doc_id) GROUP BY 1)
+      SELECT term, row_sum, CAST(1 AS INT) AS in_range, CAST(1 AS INT) AS settled FROM whole""",
 )
 def _(t):
+    # The first value of the scaled matrix is known to be 1, and the residuals of all components are measured.
     index = materialize(build_index(t.comments()), "postings")
-    hashed = hashed_rows(index)
-    sums = hashed.groupBy("term").agg(
-        F.sum("value").cast("bigint").alias("total"), F.sum(F.col("value") * F.col("value")).cast("bigint").alias("square")
-    )
-    clusters = cluster_terms(index, hashed=hashed).select("term", F.col("cluster").between(0, 4).cast("int").alias("in_range"))
-    return sums.join(clusters, "term")
+    components, values, residuals = leading_components(index)
+    settled = abs(values[0] - 1) < 1e-3 and max(residuals) < 0.05
+    sizes = index.groupBy("group_id", "doc_id").agg(F.count("*").alias("n"))
+    rows = index.join(sizes, ["group_id", "doc_id"]).groupBy("term").agg(F.sum("n").alias("row_sum"))
+    clusters = cluster_terms(index, components=components).select("term", F.col("cluster").between(0, 4).cast("int").alias("in_range"))
+    return rows.join(clusters, "term").withColumn("settled", F.lit(int(settled)))
 
 
 @query("ml14_compare_labelings", "SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2")

@@ -38,8 +38,9 @@ from lexiweave.operators.vectors import (
     standard_scale_long,
 )
 from lexiweave.plans.affinity_classifier import classifier_report
-from lexiweave.plans.category_scores import fit_category_lines, score_texts
+from lexiweave.plans.category_scores import fit_category_lines, fit_category_model, predict_tokens, score_texts, score_tokens
 from lexiweave.plans.profile_clusters import cluster_profiles, label_sweep, mixture_tags, profile_features
+from lexiweave.plans.term_clusters import cluster_terms, leading_components
 from lexiweave.plans.topics import topic_report
 
 LONG = "doc_id bigint, idx bigint, value double"
@@ -252,3 +253,104 @@ def test_topic_report_and_mixture(spark):
     assert report.count() == 8 and {r.topic for r in report.collect()} <= {0, 1, 2}
     tags = mixture_tags(df.withColumnRenamed("doc_id", "member"))
     assert sum(r.n for r in tags.where("rank = 1").collect()) > 0
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_top_classes_equal_the_scores_of_all_classes(spark, k):
+    import random
+
+    rng = random.Random(k)
+    tokens, labels = [], []
+    for label in range(40):
+        for _ in range(rng.choice([1, 1, 2])):
+            line = len(labels)
+            labels.append((line, label))
+            tokens += [(line, f"t{rng.randrange(60)}") for _ in range(rng.randrange(0, 6))]
+    tokens = spark.createDataFrame(sorted(set(tokens)), "doc_id bigint, term string")
+    model, vocabulary = fit_category_model(tokens, spark.createDataFrame(labels, "doc_id bigint, label bigint"))
+    asked = [(i, f"t{rng.randrange(70)}") for i in range(50) for _ in range(rng.randrange(0, 5))]
+    texts = spark.createDataFrame(asked, "doc_id bigint, term string")
+    ids = spark.createDataFrame([(i,) for i in range(50)], "doc_id bigint")
+    got = {}
+    for r in predict_tokens(model, vocabulary, texts, ids, k=k).collect():
+        got.setdefault(r.doc_id, {})[r["rank"]] = (r.label, round(r.score, 9))
+    for r in score_tokens(model, vocabulary, texts, ids).collect():
+        scores = {c["label"]: round(c["score"], 9) for c in r.scores}
+        mine = [got[r.doc_id][n + 1] for n in range(k)]
+        assert [s for _, s in mine] == sorted(scores.values(), reverse=True)[:k]
+        assert all(scores[label] == s for label, s in mine) and len({label for label, _ in mine}) == k
+
+
+def test_many_classes_stay_a_table(spark):
+    # One line per class: 20,000 classes, each text is best in the class that has its two terms.
+    lines = spark.range(20_000).select(
+        F.col("id").alias("label"), F.explode(F.array(F.concat(F.lit("a"), F.col("id")), F.concat(F.lit("b"), F.floor(F.col("id") / 2)))).alias("term")
+    )
+    model, vocabulary = fit_category_lines(lines)
+    asked = [(i, t) for i in (7, 19_998) for t in (f"a{i}", f"b{i // 2}")] + [(3, "unknown")]
+    texts = spark.createDataFrame(asked, "doc_id bigint, term string")
+    best = predict_tokens(model, vocabulary, texts, texts.select("doc_id").distinct())
+    assert len(best._jdf.queryExecution().logical().toString()) < 200_000
+    assert {r.doc_id: r.label for r in best.collect()} == {7: 7, 19_998: 19_998, 3: 0}
+
+
+def test_sparse_margins_equal_the_model_and_one_training_serves_all(spark):
+    import uuid
+
+    lines = [(i, f"<sex>{'m' if i % 2 else 'f'}</sex><words>{('up run far ' if i % 2 else 'down sit near ') * 6}w{i % 5}</words>") for i in range(60)]
+    df = spark.createDataFrame(lines, "member bigint, raw string")
+    store = f"{spark.conf.get('spark.checkpoint.dir')}/models/{uuid.uuid4().hex}"
+    model, scored = classifier_report(df, "<sex>m</sex>", min_chars=1, max_iter=20, store=store)
+    own = {r.member: r.score for r in M.margin_scores(model, scored, "member").collect()}
+    first = {r.member: r.score for r in scored.collect()}
+    assert first and all(first[i] == pytest.approx(own[i], abs=1e-9) for i in first)
+    again, rescored = classifier_report(df, "<sex>m</sex>", min_chars=1, max_iter=20, store=store)
+    assert again.uid == model.uid
+    assert {r.member: r.score for r in rescored.collect()} == pytest.approx(first)
+
+
+def test_topic_tables_agree_with_the_model(spark):
+    texts = [(i, Vectors.dense([float((i * 7 + j * 3) % 5) for j in range(12)])) for i in range(30)]
+    model = M.fit_lda(spark.createDataFrame(texts, ["doc_id", "features"]), k=3, max_iter=5, doc=2.0, topic=2.0)
+    terms, documents = M.lda_tables(model)
+    assert terms.count() == 12 and documents.count() == 30
+    for wrong in (
+        terms.withColumn("weights", F.transform("weights", lambda w: w + 1)),
+        terms.withColumn("idx", 11 - F.col("idx")),
+        terms.where("idx > 0").unionByName(terms.where("idx = 0").select((F.col("idx") + 50).alias("idx"), "weights")).where("idx <> 3"),
+    ):
+        with pytest.raises(RuntimeError):
+            M.check_topic_terms(model, wrong)
+
+
+def test_leading_components_equal_a_dense_decomposition(spark):
+    import random
+
+    rng = random.Random(12)
+    groups = [[f"{g}{i}" for i in range(8)] for g in "abcd"]
+    index = [("g", d, t) for d in range(150) for t in set(rng.sample(groups[d % 4], 5) + rng.sample([x for g in groups for x in g], 2))]
+    names = sorted({t for _, _, t in index})
+    b = np.zeros((150, len(names)))
+    for _, d, t in index:
+        b[d, names.index(t)] = 1
+    m = b.T @ b
+    scale = 1 / np.sqrt(m.sum(axis=1))
+    a = scale[:, None] * m * scale[None, :]
+    values, axes = np.linalg.eigh(a)
+    df = spark.createDataFrame(index + index[:20], "group_id string, doc_id bigint, term string")
+    found, got, residuals = leading_components(df, 4, spare=4, tolerance=1e-4)
+    assert got == pytest.approx(values[::-1][:4], abs=1e-6) and got[0] == pytest.approx(1.0)
+    rows_ = {r.term: [r.c0, r.c1, r.c2, r.c3] for r in found.collect()}
+    q = np.array([rows_[t] for t in names])
+    assert np.allclose(q.T @ q, np.eye(4), atol=1e-8)
+    measured = np.linalg.norm(a @ q - q * got, axis=0)
+    assert np.allclose(measured, residuals, atol=1e-6) and measured.max() <= 1e-4
+    assert np.allclose(np.abs((q * (axes[:, ::-1][:, :4])).sum(axis=0)), 1.0, atol=1e-3)
+    clusters = {r.term: r.cluster for r in cluster_terms(df, k=4, components=found).collect()}
+    assert sorted(clusters) == names
+
+
+def test_more_components_than_terms(spark):
+    index = spark.createDataFrame([("g", 1, "a"), ("g", 1, "b"), ("g", 2, "b")], "group_id string, doc_id bigint, term string")
+    found, values, residuals = leading_components(index, 10)
+    assert found.count() == 2 and values[0] == pytest.approx(1.0) and max(residuals) < 1e-6
