@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -299,3 +300,27 @@ def test_refinement_on_the_coded_graph_is_the_same(spark):
     for _, _, c, _ in refined:
         sizes[c] = sizes.get(c, 0) + 1
     assert all((p is not None) == (sizes[c] > 5) for _, _, c, p in refined)
+
+
+@pytest.mark.parametrize("block, step", [(1, 1), (3, 7), (2048, 1 << 17)])
+def test_pairs_of_small_blocks_equal_brute_force(spark, monkeypatch, block, step):
+    monkeypatch.setattr(I, "PAIR_BLOCK", block)
+    monkeypatch.setattr("lexiweave.operators.pairs.STEP", step)
+    found = random_postings(block, 30, 12)
+    found += found[:5] + [("g0", found[0][1], None), ("g0", found[1][1], None)]
+    df = spark.createDataFrame(found, POSTINGS)
+    zero = spark.createDataFrame([("g0", 0.0), ("g1", 0.0)], "group_id string, theta double")
+    edges = I.cooccurrence(df, zero)
+    assert {tuple(r)[:3]: r.w for r in edges.collect()} == brute(found)
+    # Pairs are counted in arrays and are no rows of a table.
+    assert "Generate" not in edges._jdf.queryExecution().executedPlan().toString()
+
+
+def test_places_of_two_blocks_are_paired_per_list(monkeypatch):
+    from lexiweave.operators import pairs as P
+
+    for step in (1, 2, 100):
+        monkeypatch.setattr(P, "STEP", step)
+        table = np.zeros((2, 3), np.int64)
+        P._add_pairs(table, *[np.array(x) for x in ([2, 0, 1], [0, 1, 1], [2, 1, 3], [0, 2, 1, 0, 1, 2])])
+        assert table.tolist() == [[1, 0, 1], [2, 1, 2]]
