@@ -135,6 +135,14 @@ def sparse_vectors(
     return materialize(parts, "vectors", schema)
 
 
+def stored_values(vectors: Column | str) -> Column:
+    """The values that sparse vectors hold, in the order of their indices.
+
+    An array as long as the entries of the row; ``vector_to_array`` gives one as long as the vocabulary.
+    """
+    return F.unwrap_udt(F.col(vectors) if isinstance(vectors, str) else vectors)["values"]
+
+
 def dense_vectors(df: DataFrame, values: str, out: str = "features") -> DataFrame:
     """Array of numbers to a vector column."""
     return df.withColumn(out, array_to_vector(F.col(values).cast("array<double>")))

@@ -47,6 +47,7 @@ from ..operators.vectors import (
     sparse_vectors,
     standard_scale,
     standard_scale_long,
+    stored_values,
 )
 from ..functions.fields import profile_tag_array
 from ..functions.text import words
@@ -133,7 +134,7 @@ def _(t):
 def _(t):
     vocabulary, long = _long(t)
     vectors = sparse_vectors(long, vocabulary.count())
-    values = F.filter(vector_to_array("features"), lambda x: x != 0)
+    values = F.filter(stored_values("features"), lambda x: x != 0)
     return vectors.select(
         "doc_id",
         F.size(values).cast("bigint").alias("nonzero"),

@@ -36,6 +36,7 @@ from lexiweave.operators.vectors import (
     sparse_vectors,
     standard_scale,
     standard_scale_long,
+    stored_values,
 )
 from lexiweave.plans.affinity_classifier import classifier_report
 from lexiweave.plans.category_scores import fit_category_lines, fit_category_model, predict_tokens, score_texts, score_tokens
@@ -354,3 +355,11 @@ def test_more_components_than_terms(spark):
     index = spark.createDataFrame([("g", 1, "a"), ("g", 1, "b"), ("g", 2, "b")], "group_id string, doc_id bigint, term string")
     found, values, residuals = leading_components(index, 10)
     assert found.count() == 2 and values[0] == pytest.approx(1.0) and max(residuals) < 1e-6
+
+
+def test_values_of_long_sparse_vectors_are_not_filled_up(spark):
+    # As a dense array a row of this size would not fit any task.
+    long = spark.createDataFrame([(1, 5, 2.0), (1, 2**31 - 2, 3.0), (2, 0, 1.0)], "doc_id bigint, idx bigint, value double")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "doc_id bigint")
+    found = sparse_vectors(long, 2**31 - 1, ids=ids).select("doc_id", stored_values("features").alias("v"))
+    assert rows(found) == [(1, [2.0, 3.0]), (2, [1.0]), (3, [])]
