@@ -20,7 +20,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,12 +101,13 @@ def drop_thin_rows(
         + F.length(F.col("value").cast("double").cast("string"))
         + F.lit(1)
     )
-    thick = (
-        long.groupBy(id_col)
-        .agg((F.sum(pair) + F.lit(2)).alias("_chars"), F.count("*").alias("_nonzero"))
-        .where((F.col("_chars") >= min_chars) & (F.col("_nonzero") >= min_nonzero))
+    # The rows of a record meet once; an aggregate that is joined back would work out and shuffle the rows twice.
+    record = Window.partitionBy(id_col)
+    sized = long.where(F.col(id_col).isNotNull()).select(
+        "*", (F.sum(pair).over(record) + F.lit(2)).alias("_chars"), F.count("*").over(record).alias("_nonzero")
     )
-    return long.join(thick.select(id_col), id_col, "left_semi")
+    thick = sized.where((F.col("_chars") >= min_chars) & (F.col("_nonzero") >= min_nonzero))
+    return thick.select(id_col, *[c for c in long.columns if c != id_col])
 
 
 def sparse_vectors(
@@ -236,8 +237,9 @@ def normalize(df: DataFrame, p: float = 1.0, column: str = "tfidf", out: str = "
 
 def normalize_long(long: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Long-form twin of :func:`normalize` for p = 1."""
-    norm = long.groupBy(id_col).agg(F.sum(F.abs("value")).alias("_norm"))
-    return long.join(norm, id_col).select(
+    # One shuffle of the rows, as in :func:`drop_thin_rows`.
+    norm = F.sum(F.abs("value")).over(Window.partitionBy(id_col))
+    return long.where(F.col(id_col).isNotNull()).select(id_col, "idx", "value", norm.alias("_norm")).select(
         id_col,
         "idx",
         F.when(F.col("_norm") > 0, F.col("value") / F.col("_norm")).otherwise(F.lit(0.0)).alias("value"),

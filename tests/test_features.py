@@ -363,3 +363,12 @@ def test_values_of_long_sparse_vectors_are_not_filled_up(spark):
     ids = spark.createDataFrame([(1,), (2,), (3,)], "doc_id bigint")
     found = sparse_vectors(long, 2**31 - 1, ids=ids).select("doc_id", stored_values("features").alias("v"))
     assert rows(found) == [(1, [2.0, 3.0]), (2, [1.0]), (3, [])]
+
+
+def test_rows_of_a_record_are_shuffled_once(spark):
+    long = spark.createDataFrame([(1, 0, 1.0), (1, 1, 3.0), (2, 0, 0.0), (None, 4, 1.0)], "doc_id bigint, idx bigint, value double")
+    normed, thick = normalize_long(long), drop_thin_rows(long, "doc_id", min_chars=1, min_nonzero=2)
+    assert rows(normed) == [(1, 0, 0.25), (1, 1, 0.75), (2, 0, 0.0)]
+    assert rows(thick) == [(1, 0, 1.0), (1, 1, 3.0)]
+    for df in (normed, thick):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
