@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 from conftest import rows
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -372,3 +372,46 @@ def test_rows_of_a_record_are_shuffled_once(spark):
     assert rows(thick) == [(1, 0, 1.0), (1, 1, 3.0)]
     for df in (normed, thick):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_topic_model_equals_a_plain_loop_however_rows_are_dealt(spark):
+    from lexiweave.operators import topic_model as T
+
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 3, (40, 15)).astype(float)
+    values[7] = 0.0
+    texts = [(i, Vectors.dense(v) if i % 2 else Vectors.sparse(15, {int(j): v[j] for j in np.flatnonzero(v)})) for i, v in enumerate(values)]
+    df = spark.createDataFrame(texts, ["doc_id", "features"])
+    doc, topic, k, seed = 2.5, 1.5, 4, 9
+    share = np.zeros((40, 15, k))
+    for d, v in enumerate(values):
+        idx = np.flatnonzero(v)
+        if len(idx):
+            share[d, idx] = T._start(idx.astype("<i4"), v[idx], k, seed)
+    for _ in range(6):
+        by_doc, by_term, total = share.sum(axis=1), share.sum(axis=0), share.sum(axis=(0, 1))
+        p = (by_term[None] + topic - 1) * (by_doc[:, None] + doc - 1) / (total + 15 * (topic - 1))
+        share = values[:, :, None] * p / p.sum(axis=2, keepdims=True)
+    for parts in (1, 9):
+        terms, documents = M.lda_tables(M.fit_lda(df.repartition(parts), k, 6, doc, topic, seed))
+        got = {r.idx: r.weights for r in terms.collect()}
+        assert np.allclose([got[i] for i in range(15)], share.sum(axis=0), rtol=1e-5)
+        own = sorted(tuple(r.weights) for r in documents.collect())
+        assert np.allclose(own, sorted(map(tuple, np.delete(share.sum(axis=1), 7, axis=0).tolist())), rtol=1e-5)
+        assert sum(map(sum, own)) == pytest.approx(values.sum(), abs=1e-9)
+
+
+def test_a_term_is_sent_once_to_a_block(spark, monkeypatch):
+    # Parts of the input do not multiply the weights: 60 terms, 5 blocks of two packs or less, 40 parts.
+    from lexiweave.operators import topic_model as T
+
+    monkeypatch.setattr(T, "PACK_ENTRIES", 60)
+    monkeypatch.setattr(T, "BLOCK_ENTRIES", 480)
+    df = spark.range(40).select("id", F.transform(F.sequence(F.lit(0), F.lit(59)), lambda x: (x + 1).cast("double")).alias("v"))
+    df = df.select(F.col("id").alias("doc_id"), array_to_vector("v").alias("features")).repartition(40)
+    sent = []
+    kept = T.materialize
+    monkeypatch.setattr(T, "materialize", lambda rows, name: sent.append((name, kept(rows, name))) or sent[-1][1])
+    M.fit_lda(df, k=2, max_iter=2, doc=2.0, topic=2.0)
+    weights = [rows for name, rows in sent if name == "topic_weights"]
+    assert [rows.where(F.col("kind") == T._TERMS).count() for rows in weights] == [5 * 60] * 3
