@@ -157,7 +157,9 @@ def lexicon(t):
       SEMI JOIN (SELECT term FROM lex WHERE class IN ('noun', 'verb')) USING (term) GROUP BY 1, 2""",
 )
 def _(t):
-    return term_counts(keep_classes(t.tokens(), lexicon(t), ["noun", "verb"]), ["group_id"])
+    # Every token of a term has its class, so terms are counted first and the look-up has a row per term of a group.
+    kept = keep_classes(term_counts(t.tokens(), ["group_id"]), lexicon(t), ["noun", "verb"], ["group_id"])
+    return kept.select("group_id", "term", "n")
 
 
 @query(

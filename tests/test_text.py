@@ -164,3 +164,16 @@ def test_keep_classes_tests_the_class_only(spark):
     tokens = spark.createDataFrame([(1, "navi"), (1, "dog"), (2, "run")], "doc_id bigint, term string")
     lexicon = spark.createDataFrame([("navi", "other"), ("dog", "noun"), ("run", "verb")], "term string, class string")
     assert rows(keep_classes(tokens, lexicon, ["noun", "verb"]), "term") == [("dog",), ("run",)]
+
+
+def test_classes_are_looked_up_once_for_a_term_of_a_group(spark, tmp_path, monkeypatch):
+    from lexiweave.registry import QUERIES, Tables, text_queries
+
+    docs = [(i, "low low low fig " * 20 + "zebra early", "en" if i % 2 else "de") for i in range(12)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    seen, kept = [], text_queries.keep_classes
+    monkeypatch.setattr(text_queries, "keep_classes", lambda words, *rest: seen.append(words.count()) or kept(words, *rest))
+    got = QUERIES["tok3_keep_classes"].run(Tables(spark, str(tmp_path)))
+    assert got.columns == ["group_id", "term", "n"]
+    assert sorted(map(tuple, got.collect())) == sorted((g, t, n) for g in ("en", "de") for t, n in (("early", 6), ("fig", 120), ("low", 360)))
+    assert seen == [8]
