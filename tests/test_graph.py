@@ -324,3 +324,46 @@ def test_places_of_two_blocks_are_paired_per_list(monkeypatch):
         table = np.zeros((2, 3), np.int64)
         P._add_pairs(table, *[np.array(x) for x in ([2, 0, 1], [0, 1, 1], [2, 1, 3], [0, 2, 1, 0, 1, 2])])
         assert table.tolist() == [[1, 0, 1], [2, 1, 2]]
+
+
+def test_a_round_over_blocks_gives_the_best_moves(spark, monkeypatch):
+    import random
+
+    from lexiweave.operators import edge_blocks as E
+    from lexiweave.operators import graph as G
+
+    monkeypatch.setattr(E, "BLOCK_EDGES", 150)
+    draw = random.Random(5)
+    weight = {(a, b): float(draw.randint(1, 4)) for a in range(40) for b in range(a + 1, 40) if draw.random() < 0.4}
+    weight |= {(3, 3): 2.0, (7, 7): 5.0}
+    both = [(0, 2 * a, 2 * b, w) for (a, b), w in weight.items()] + [(0, 2 * b, 2 * a, w) for (a, b), w in weight.items() if a != b]
+    adjacency = spark.createDataFrame(both, "part bigint, v bigint, u bigint, w double")
+    blocks = E.edge_blocks(adjacency, True)
+    # A vertex is sent once to a block, whatever the edges to it.
+    n_blocks = blocks.packed.count()
+    assert n_blocks > 2 and blocks.needs.count() == blocks.needs.distinct().count() <= 40 * n_blocks < len(both)
+    comm = {2 * v: 2 * draw.randrange(8) for v in range(40)}
+    active, moved = {0, 14, 22}, {8}
+    degree, near = dict.fromkeys(comm, 0.0), {v: {} for v in comm}
+    for _, v, u, w in both:
+        degree[v] += w
+        near[v][u] = w
+    m2 = sum(degree.values())
+    tot = {c: sum(degree[v] for v in comm if comm[v] == c) for c in set(comm.values())}
+    wanted = {}
+    for v in comm:
+        if v not in active and not any(u in moved for u in near[v]):
+            continue
+        win = {comm[v]: 0.0}
+        for u, w in near[v].items():
+            if u != v:
+                win[comm[u]] = win.get(comm[u], 0.0) + w
+        score = {c: x - degree[v] / m2 * (tot[c] - (degree[v] if c == comm[v] else 0.0)) for c, x in win.items()}
+        best = min((-s, c) for c, s in score.items() if c != comm[v])
+        if -best[0] - score[comm[v]] > 1e-9:
+            wanted[v] = (best[1], round(-best[0] - score[comm[v]], 6))
+    state = [(0, v, comm[v], degree[v], degree[v] / m2, v in active, v in moved) for v in comm]
+    state = spark.createDataFrame(state, "part bigint, v bigint, comm bigint, k double, r double, active boolean, moved boolean")
+    for small in (True, False):
+        found = G._proposals(blocks, state, small).collect()
+        assert wanted and {r.v: (r.next, round(r.gain, 6)) for r in found} == wanted
