@@ -175,15 +175,20 @@ def posting_intersection_size(postings_df: DataFrame, pairs: DataFrame) -> DataF
 
     Pairs that share none are left out.
     """
-    asked = materialize(pairs.select("group_id", "src", "dst").distinct(), "asked")
-    left = postings_df.select("group_id", F.col("term").alias("src"), "doc_id")
-    right = postings_df.select("group_id", F.col("term").alias("dst"), "doc_id")
-    wanted = lookup_join(left, asked, ["group_id", "src"], ["doc_id"])
-    return (
-        wanted.join(right, ["group_id", "dst", "doc_id"])
-        .groupBy("group_id", "src", "dst")
-        .agg(F.count("*").alias("w"))
+    asked = pairs.select("group_id", "src", "dst").distinct().withColumn("pair", F.monotonically_increasing_id())
+    asked = materialize(asked, "asked")
+    # A posting is listed under the number of every pair that asks for its term, and meets the other end there.
+    ends = F.explode(F.array(F.struct(F.col("src").alias("term"), F.lit(True).alias("first")), F.struct(F.col("dst").alias("term"), F.lit(False).alias("first"))))
+    listed = asked.select("group_id", "pair", ends.alias("e")).select("group_id", "e.term", "pair", "e.first")
+    met = lookup_join(postings_df.select("group_id", "term", "doc_id"), listed, ["group_id", "term"], ["doc_id"])
+    shared = (
+        met.where(F.col("doc_id").isNotNull())
+        .groupBy("pair", "doc_id")
+        .agg((F.count_if("first") * F.count_if(~F.col("first"))).alias("both"))
+        .groupBy("pair")
+        .agg(F.sum("both").alias("w"))
     )
+    return lookup_join(asked, materialize(shared.where("w > 0"), "shared"), ["pair"], ["src"]).select("group_id", "src", "dst", "w")
 
 
 def _pair_blocks(numbered: DataFrame, tasks: int) -> DataFrame:

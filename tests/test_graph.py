@@ -367,3 +367,17 @@ def test_a_round_over_blocks_gives_the_best_moves(spark, monkeypatch):
     for small in (True, False):
         found = G._proposals(blocks, state, small).collect()
         assert wanted and {r.v: (r.next, round(r.gain, 6)) for r in found} == wanted
+
+
+def test_shared_documents_of_asked_pairs_are_counted_in_one_reading(spark, tmp_path):
+    from lexiweave.operators.index import posting_intersection_size
+
+    held = [("g", t, d) for t, d in (("a", 1), ("a", 2), ("b", 1), ("b", 2), ("b", 3), ("c", 3), ("a", None), ("b", None))]
+    held += [(None, "a", 1), (None, "b", 1), ("h", "a", 5), ("h", "b", 5), ("h", "b", 5), ("h", "z", 6)]
+    spark.createDataFrame(held, "group_id string, term string, doc_id bigint").write.parquet(f"{tmp_path}/postings")
+    postings = spark.read.parquet(f"{tmp_path}/postings")
+    asked = [("g", "a", "b"), ("g", "a", "b"), ("g", "b", "c"), ("g", "a", "c"), ("g", "b", "b"), (None, "a", "b"), ("h", "a", "b"), ("h", "z", "y")]
+    found = posting_intersection_size(postings, spark.createDataFrame(asked, "group_id string, src string, dst string"))
+    assert rows(found, "group_id", "src", "dst", "w") == [("g", "a", "b", 2), ("g", "b", "b", 3), ("g", "b", "c", 1), ("h", "a", "b", 2)]
+    # The postings are not joined to themselves.
+    assert not any("/postings/" in name for name in found.inputFiles())
