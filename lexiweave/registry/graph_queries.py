@@ -264,7 +264,8 @@ def _merge_gains(edges, found):
     tot_a = shares.select("group_id", F.col("community").alias("a"), F.col("tot").alias("tot_a"))
     tot_b = shares.select("group_id", F.col("community").alias("b"), F.col("tot").alias("tot_b"))
     scored = between.join(tot_a, ["group_id", "a"]).join(tot_b, ["group_id", "b"]).join(whole, "group_id")
-    return scored.where(F.col("w") - F.col("tot_a") * F.col("tot_b") / F.col("m2") > 1e-6)
+    # The product of two sums of weights may pass a long.
+    return scored.where(F.col("w") - F.col("tot_a").cast("double") * F.col("tot_b") / F.col("m2") > 1e-6)
 
 
 def _community_checks(terms, edges, found):
