@@ -124,3 +124,25 @@ def test_shuffle_files_go_with_the_write_and_the_session_stays(spark, tmp_path):
         assert spark.conf.get(runtime.SHUFFLE_CLEANUP) == "false"
     finally:
         spark.conf.unset(runtime.SHUFFLE_CLEANUP)
+
+
+def test_documents_of_an_index_are_shuffled_as_numbers_once(spark, monkeypatch):
+    from lexiweave.plans import term_clusters as C
+
+    monkeypatch.setattr(C, "BLOCK_ENTRIES", 7)
+    monkeypatch.setattr(C, "TASK_ENTRIES", 1)
+    monkeypatch.setattr(C, "STEP", 3)
+    found = sorted(set(random_postings(4, 12, 9)))
+    numbered, lists = C.document_lists(spark.createDataFrame([*found, (None, "t01", 1), ("g0", "t01", None), ("g0", None, 1)], POSTINGS))
+    number = {r.term: r.v for r in numbered.collect()}
+    docs = {}
+    for g, t, d in found:
+        docs.setdefault((g, d), set()).add(number[t])
+    assert {(r.group_id, r.doc_id): set(r.vs) for r in lists.collect()} == docs
+    sizes = {v: sum(len(x) for x in docs.values() if v in x) for v in number.values()}
+    assert {r.v: r.n for r in C.row_sums(lists).collect()} == sizes
+    blocks = C._document_blocks(lists, True)
+    assert blocks.packed.count() > 1
+    vectors = spark.createDataFrame([(v, 0.5, float(v + 1)) for v in number.values()], "v bigint, s double, q double")
+    want = {v: 0.5 * sum(sum(0.5 * (u + 1) for u in x) for x in docs.values() if v in x) for v in number.values()}
+    assert {r.v: r.z for r in C._spread(blocks, vectors, ["q"], ["z"]).collect()} == pytest.approx(want)
